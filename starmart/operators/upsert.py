@@ -89,9 +89,9 @@ def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str]
     missing = [c for c in update_cols if c not in batch.columns]
     if missing:
         raise ValueError(f"update columns not in batch: {missing}")
-    b = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                       for c in cols])
-    b = _prepare_batch(b, keys, dedupe, order_by)
+    b = _prepare_batch(batch, keys, dedupe, order_by)
+    b = b.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                   for c in cols])
     t = target.select(*cols, F.lit(True).alias("_in_t"))
     b = b.select(*[F.col(c).alias(c if c in keys else f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
     j = t.join(b, keys, "full_outer")
