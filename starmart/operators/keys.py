@@ -13,10 +13,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import materialise
+
 
 # Dimensions up to this many rows may be broadcast (checked, not assumed).
 BROADCAST_MAX_ROWS = 2_000_000
@@ -31,31 +32,39 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def number_rows(df: DataFrame, order_by, start: int = 1, id_col: str = "id") -> DataFrame:
+def number_rows(df: DataFrame, order_by, start=1, id_col: str = "id") -> DataFrame:
     """Add ``id_col`` = ``start`` + position of the row in ``order_by`` order.
 
-    Rows are range-partitioned on ``order_by`` and materialised once (checkpoint
-    in the shared folder), so the per-partition counts and the final numbering
-    see the same partitions. Equal ``order_by`` values get distinct, arbitrary ids.
+    ``start`` may be a Column (e.g. a scalar subquery ``max(id) + 1`` of the
+    target), so no driver round trip is needed. Rows are range-partitioned on
+    ``order_by`` and sorted inside each partition, written once, and the
+    per-partition counts become offsets. The offsets table has one row per partition; its running
+    sum is the only global step and its size is bounded by the partition count,
+    not by the data. Equal ``order_by`` values get distinct, arbitrary ids.
     """
     order_by = _cols(order_by)
-    spark = df.sparkSession
     ranged = (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.min("_pos").alias("p0")).collect()
-    offsets, acc = [], 0
-    for r in sorted(counts, key=lambda r: r["_pid"]):
-        offsets.append((r["_pid"], acc, r["p0"]))
-        acc += r["n"]
-    off = spark.createDataFrame(offsets or [(0, 0, 0)], "_pid int, _off long, _p0 long")
-    # one row per partition: size is bounded by the partition count
-    out = ranged.join(F.broadcast(off), "_pid")
-    out = out.withColumn(id_col, (F.lit(start) + F.col("_off") + F.col("_pos") - F.col("_p0")).cast("bigint"))
+    # written once (shared folder): the counts read two small columns of it and
+    # the numbering is a narrow projection over it, so the input is never
+    # computed twice and a lost executor cannot change a partition's ids
+    ranged = materialise(ranged, "numbered")
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0"))
+    offsets = counts.select("_pid", "_p0", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
+    out = ranged.join(F.broadcast(offsets), "_pid")
+    first = start if isinstance(start, Column) else F.lit(start)
+    out = out.withColumn(id_col, (first + F.col("_off") + F.col("_pos") - F.col("_p0")).cast("bigint"))
     return out.drop("_pid", "_pos", "_off", "_p0")
 
 
+def next_id(known: DataFrame | None, id_col: str = "id") -> Column:
+    """``coalesce(max(id), 0) + 1`` of ``known`` as a scalar subquery Column."""
+    if known is None:
+        return F.lit(1)
+    return F.coalesce(known.select(F.max(id_col)).scalar(), F.lit(0)) + F.lit(1)
+
+
 def assign_surrogate(batch: DataFrame, known: DataFrame | None, natural_keys, id_col: str = "id") -> DataFrame:
     """Mapping ``natural keys -> id`` after adding the keys of ``batch``.
 
@@ -65,21 +74,27 @@ def assign_surrogate(batch: DataFrame, known: DataFrame | None, natural_keys, id
     keys = _cols(natural_keys)
     new = batch.select(*keys).dropDuplicates(keys)
     if known is None:
-        base = 0
-        known_map = None
-    else:
-        known_map = known.select(*keys, id_col)
-        new = new.join(known_map.select(*keys), keys, "left_anti")
-        base = known_map.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
-    numbered = number_rows(new, keys, start=base + 1, id_col=id_col).select(*keys, id_col)
-    return numbered if known_map is None else known_map.unionByName(numbered)
+        return number_rows(new, keys, start=1, id_col=id_col).select(*keys, id_col)
+    known_map = known.select(*keys, id_col)
+    new = new.join(known_map.select(*keys), keys, "left_anti")
+    numbered = number_rows(new, keys, start=next_id(known_map, id_col), id_col=id_col).select(*keys, id_col)
+    return known_map.unionByName(numbered)
 
 
 def with_surrogate(df: DataFrame, natural_keys, known: DataFrame | None = None, id_col: str = "id") -> DataFrame:
-    """Attach surrogate ids to the rows of a dimension snapshot ``df``."""
+    """Rows of a dimension snapshot ``df`` (one row per natural key) with ids:
+    keys already in ``known`` keep their id, the others are numbered after
+    the current maximum in natural-key order. Whole rows are numbered, so the
+    snapshot is materialised once."""
     keys = _cols(natural_keys)
-    mapping = assign_surrogate(df, known, keys, id_col)
-    return df.join(mapping, keys, "inner").select(id_col, *[c for c in df.columns if c != id_col])
+    cols = [c for c in df.columns if c != id_col]
+    if known is None:
+        return number_rows(df.select(*cols), keys, start=1, id_col=id_col).select(id_col, *cols)
+    known_map = known.select(*keys, id_col)
+    old = df.select(*cols).join(known_map, keys).select(id_col, *cols)
+    new = df.select(*cols).join(known_map.select(*keys), keys, "left_anti")
+    numbered = number_rows(new, keys, start=next_id(known_map, id_col), id_col=id_col).select(id_col, *cols)
+    return old.unionByName(numbered)
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: dict, take: dict, how: str = "inner",

@@ -258,7 +258,7 @@ def q_append_boundary_duplicates(spark, sf):
     stg = landing.staging(t)
     w = _warehouse(spark, sf)
     first = dds.build_orders(stg["orders"], w["dm_users"], w["dm_restaurants"], w["dm_timestamps"],
-                             w["deliveries"], dds.empty(spark, "dm_orders"), floor=FLOOR, mode="append")
+                             w["deliveries"], None, floor=FLOOR, mode="append")
     cursor = dds.advance_cursor(stg["orders"], dds.empty(spark, "srv_wf_settings_ts"))
     # second run with the inclusive cursor: boundary orders are inserted again
     second = dds.build_orders(stg["orders"], w["dm_users"], w["dm_restaurants"], w["dm_timestamps"],
@@ -724,7 +724,7 @@ def _warehouse(spark: SparkSession, sf: str) -> dict:
     the way a warehouse reuses its tables)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = build_warehouse(spark, landing.staging(Tables(spark, sf)), floor=FLOOR)
+        _WAREHOUSES[key] = build_warehouse(spark, landing.staging(Tables(spark, sf), materialise=True), floor=FLOOR)
     return _WAREHOUSES[key]
 
 

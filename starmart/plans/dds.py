@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from ..functions import casts
 from ..functions.timefmt import timestamp_parts
-from ..operators.keys import BROADCAST_MAX_ROWS, assign_surrogate, lookup, number_rows
+from ..operators.keys import BROADCAST_MAX_ROWS, lookup, next_id, number_rows, with_surrogate
 from ..operators.shred import explode_menu, explode_payments
 from ..operators.upsert import check_unique, dedupe_last, max_cursor, upsert
 from ..schemas import DDS, DEFAULT_FLOOR, DOC_DELIVERY, DOC_ORDER, DOC_USER, OPEN_END
@@ -37,21 +37,31 @@ def _since(df: DataFrame, col, cursor, floor) -> DataFrame:
     return since(df, col, cursor, inclusive=True, floor=floor)
 
 
-def merge_dimension(target: DataFrame, batch: DataFrame, keys, order_by=None, update_cols=None,
-                    dedupe: str = "last", with_ids: bool = True) -> DataFrame:
+def merge_dimension(target: DataFrame | None, batch: DataFrame, keys, order_by=None, update_cols=None,
+                    dedupe: str = "last", with_ids: bool = True, columns: list[str] | None = None) -> DataFrame:
     """Upsert ``batch`` into the dimension ``target`` (with ``id``) and give new
-    natural keys the next surrogate ids."""
+    natural keys the next surrogate ids. ``target=None`` is a first load (no
+    table yet): the batch is deduplicated and numbered, nothing else runs."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    cols = [c for c in target.columns if c != "id"]
     if dedupe == "last":
         batch = dedupe_last(batch, keys, order_by)
     elif dedupe == "error":
         batch = check_unique(batch, keys)
-    snap = upsert(target.select(*cols), batch.select(*cols), keys, update_cols=update_cols, dedupe="none")
+    if target is None:
+        cols = columns or [c for c in batch.columns if c != "id"]
+        snap = batch.select(*cols)
+        known = None
+    else:
+        cols = [c for c in target.columns if c != "id"]
+        snap = upsert(target.select(*cols), batch.select(*cols), keys, update_cols=update_cols, dedupe="none")
+        known = target.select(*keys, "id")
     if not with_ids:
         return snap.select(F.lit(None).cast("bigint").alias("id"), *cols)
-    mapping = assign_surrogate(snap, target.select(*keys, "id"), keys)
-    return snap.join(mapping, keys).select("id", *cols)
+    return with_surrogate(snap, keys, known)
+
+
+def _columns(table: str) -> list[str]:
+    return [f.name for f in StructType.fromDDL(DDS[table]).fields if f.name != "id"]
 
 
 # ---- J1 users ----------------------------------------------------------------
@@ -64,7 +74,7 @@ def users_batch(stg_users: DataFrame, cursor=None, floor=DEFAULT_FLOOR) -> DataF
 
 def build_users(stg_users, target, cursor=None, floor=DEFAULT_FLOOR, with_ids=True) -> DataFrame:
     return merge_dimension(target, users_batch(stg_users, cursor, floor), "user_id", "update_ts",
-                           with_ids=with_ids)
+                           with_ids=with_ids, columns=_columns("dm_users"))
 
 
 # ---- J2 restaurants (SCD1 as coded: active_to untouched on update) ----------
@@ -78,7 +88,8 @@ def restaurants_batch(stg_restaurants: DataFrame, cursor=None, floor=DEFAULT_FLO
 
 def build_restaurants(stg_restaurants, target, cursor=None, floor=DEFAULT_FLOOR, with_ids=True) -> DataFrame:
     return merge_dimension(target, restaurants_batch(stg_restaurants, cursor, floor), "restaurant_id",
-                           "active_from", update_cols=["restaurant_name", "active_from"], with_ids=with_ids)
+                           "active_from", update_cols=["restaurant_name", "active_from"], with_ids=with_ids,
+                           columns=_columns("dm_restaurants"))
 
 
 # ---- J3 timestamps --------------------------------------------------------------
@@ -93,7 +104,7 @@ def build_timestamps(stg_orders, target, cursor=None, floor=DEFAULT_FLOOR, dedup
     """``dedupe='error'`` reproduces the source (two orders in one second abort
     the load); ``'last'`` keeps one row per timestamp."""
     return merge_dimension(target, timestamps_batch(stg_orders, cursor, floor), "ts", "update_ts",
-                           dedupe=dedupe, with_ids=with_ids)
+                           dedupe=dedupe, with_ids=with_ids, columns=_columns("dm_timestamps"))
 
 
 # ---- J4 couriers (no cursor) -------------------------------------------------------
@@ -104,7 +115,7 @@ def couriers_batch(stg_couriers: DataFrame) -> DataFrame:
 
 def build_couriers(stg_couriers, target, with_ids=True) -> DataFrame:
     return merge_dimension(target, couriers_batch(stg_couriers), "courier_id", "courier_name",
-                           with_ids=with_ids)
+                           with_ids=with_ids, columns=_columns("couriers"))
 
 
 # ---- J5 products ---------------------------------------------------------------------
@@ -121,7 +132,8 @@ def products_batch(stg_restaurants: DataFrame, restaurants: DataFrame, cursor=No
 
 def build_products(stg_restaurants, restaurants, target, cursor=None, floor=DEFAULT_FLOOR, with_ids=True):
     return merge_dimension(target, products_batch(stg_restaurants, restaurants, cursor, floor),
-                           ["restaurant_id", "product_id"], "update_ts", with_ids=with_ids)
+                           ["restaurant_id", "product_id"], "update_ts", with_ids=with_ids,
+                           columns=_columns("dm_products"))
 
 
 # ---- J6 deliveries ---------------------------------------------------------------------
@@ -137,7 +149,8 @@ def deliveries_batch(stg_deliveries: DataFrame, couriers: DataFrame, cursor=None
 
 def build_deliveries(stg_deliveries, couriers, target, cursor=None, floor=DEFAULT_FLOOR, with_ids=True):
     batch = deliveries_batch(stg_deliveries, couriers, cursor, floor)
-    return merge_dimension(target, batch, ["order_id", "order_ts"], "order_ts", with_ids=with_ids)
+    return merge_dimension(target, batch, ["order_id", "order_ts"], "order_ts", with_ids=with_ids,
+                           columns=_columns("deliveries"))
 
 
 # ---- J7 orders -------------------------------------------------------------------------------
@@ -173,13 +186,13 @@ def order_rejects(stg_orders: DataFrame, users, restaurants, timestamps, deliver
 def build_orders(stg_orders, users, restaurants, timestamps, deliveries, target, cursor=None,
                  floor=DEFAULT_FLOOR, mode: str = "upsert") -> DataFrame:
     batch = orders_batch(stg_orders, users, restaurants, timestamps, deliveries, cursor, floor)
-    cols = [c for c in target.columns if c != "id"]
+    cols = _columns("dm_orders")
     if mode == "append":
-        base = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        new = number_rows(batch.select(*cols), ["order_key", "timestamp_id", "courier_id"], start=base + 1)
-        return target.unionByName(new.select("id", *cols))
+        new = number_rows(batch.select(*cols), ["order_key", "timestamp_id", "courier_id"],
+                          start=next_id(target) if target is not None else 1).select("id", *cols)
+        return new if target is None else target.unionByName(new)
     if mode == "upsert":
-        return merge_dimension(target, batch, "order_key", ["update_ts", "courier_id"])
+        return merge_dimension(target, batch, "order_key", ["update_ts", "courier_id"], columns=cols)
     raise ValueError("mode must be 'append' or 'upsert'")
 
 
@@ -210,21 +223,21 @@ def sales_batch(stg_events: DataFrame, products, orders, cursor=None, floor=DEFA
 def build_product_sales(stg_events, products, orders, target, cursor=None, floor=DEFAULT_FLOOR,
                         mode: str = "upsert", restaurant_aware: bool = False) -> DataFrame:
     batch = sales_batch(stg_events, products, orders, cursor, floor, restaurant_aware)
-    cols = [c for c in target.columns if c != "id"]
+    cols = _columns("fct_product_sales")
     if mode == "append":
-        base = target.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-        new = number_rows(batch, ["order_id", "product_id"], start=base + 1)
-        return target.unionByName(new.select("id", *cols))
+        new = number_rows(batch, ["order_id", "product_id"],
+                          start=next_id(target) if target is not None else 1).select("id", *cols)
+        return new if target is None else target.unionByName(new)
     if mode == "upsert":
-        return merge_dimension(target, batch, ["product_id", "order_id"], dedupe="none")
+        return merge_dimension(target, batch, ["product_id", "order_id"], dedupe="none", columns=cols)
     raise ValueError("mode must be 'append' or 'upsert'")
 
 
 # ---- J9 cursor ---------------------------------------------------------------------------------
-def advance_cursor(stg_orders: DataFrame, cursors: DataFrame) -> DataFrame:
+def advance_cursor(stg_orders: DataFrame, cursors: DataFrame | None) -> DataFrame:
     """``srv_wf_settings_ts`` next snapshot: id 1 = max(update_ts) of staged orders;
     an empty staging table keeps the previous value."""
     new = stg_orders.agg(max_cursor(stg_orders, "update_ts").alias("last_update_date"))
     new = new.select(F.lit(1).cast("smallint").alias("id"), "last_update_date").where(
         F.col("last_update_date").isNotNull())
-    return upsert(cursors, new, "id", dedupe="none")
+    return new if cursors is None else upsert(cursors, new, "id", dedupe="none")

@@ -29,6 +29,7 @@ from ..functions.json import to_document
 from ..functions.timefmt import DOC_DATETIME
 from ..sources.documents import stage_documents
 
+SPREAD_TABLES = ("orders", "lineitem", "customer", "part", "events")
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Fixed values of the mapping (shared with the oracle SQL).
@@ -47,6 +48,11 @@ class Tables(dict):
 
     def __missing__(self, name):
         df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        # a small table stored as one row group is one task; spread it over the
+        # cores (never triggers on large inputs, which have many splits)
+        cores = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores and name in SPREAD_TABLES:
+            df = df.repartition(cores)
         self[name] = df
         return df
 
@@ -172,6 +178,13 @@ def outbox(t: Tables) -> DataFrame:
                     F.col("props").alias("event_value"))
 
 
-def staging(t: Tables) -> dict[str, DataFrame]:
-    return {"users": stg_users(t), "restaurants": stg_restaurants(t), "orders": stg_orders(t),
-            "couriers": stg_couriers(t), "deliveries": stg_deliveries(t), "events": stg_bonus_events(t)}
+def staging(t: Tables, materialise: bool = False) -> dict[str, DataFrame]:
+    """The staging layer. With ``materialise`` each staged table is written once
+    (as the staging jobs do) so the detail-layer jobs read it instead of
+    rebuilding the documents."""
+    stg = {"users": stg_users(t), "restaurants": stg_restaurants(t), "orders": stg_orders(t),
+           "couriers": stg_couriers(t), "deliveries": stg_deliveries(t), "events": stg_bonus_events(t)}
+    if materialise:
+        from ..session import materialise as write_once
+        stg = {k: write_once(v, f"stg-{k}") for k, v in stg.items()}
+    return stg

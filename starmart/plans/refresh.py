@@ -18,18 +18,18 @@ from pyspark.sql import functions as F
 
 from . import dds, marts
 from ..schemas import CDM, DDS, DEFAULT_FLOOR
-from ..session import cut_lineage
+from ..session import materialise as materialise_df
 
 
 def build_warehouse(spark: SparkSession, stg: dict, floor=DEFAULT_FLOOR, cursor=None, targets: dict | None = None,
                     orders_mode: str = "upsert", sales_mode: str = "upsert", materialise: bool = True) -> dict:
     """All DDS tables from staged frames ``stg`` (keys users, restaurants, orders,
-    couriers, deliveries, events). Dimensions are materialised once (checkpoint)
-    because several later joins read them."""
-    tg = dict(targets or {})
-    for name in DDS:
-        tg.setdefault(name, dds.empty(spark, name))
-    keep = cut_lineage if materialise else (lambda d: d)
+    couriers, deliveries, events). With ``materialise`` every table is written
+    once (Parquet in the shared checkpoint folder) and read back, as the
+    warehouse's own tables would be, so later jobs read it instead of
+    recomputing its lineage."""
+    tg = {name: (targets or {}).get(name) for name in DDS}   # None: first load of that table
+    keep = (lambda d: materialise_df(d, "dds")) if materialise else (lambda d: d)
     out = {}
     out["dm_users"] = keep(dds.build_users(stg["users"], tg["dm_users"], cursor, floor))
     out["dm_restaurants"] = keep(dds.build_restaurants(stg["restaurants"], tg["dm_restaurants"], cursor, floor))
@@ -102,7 +102,7 @@ def refresh_all(spark: SparkSession, stg: dict, root: str, floor=DEFAULT_FLOOR,
     cursor = targets.get("srv_wf_settings_ts")
     # next snapshots, in data order; each one written before the next job reads it
     out = {}
-    tg = {n: targets.get(n, dds.empty(spark, n)) for n in DDS}
+    tg = {n: targets.get(n) for n in DDS}
     out["dm_users"] = wh.write("dds.dm_users", dds.build_users(stg["users"], tg["dm_users"], cursor, floor))
     out["dm_restaurants"] = wh.write("dds.dm_restaurants",
                                      dds.build_restaurants(stg["restaurants"], tg["dm_restaurants"], cursor, floor))

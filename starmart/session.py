@@ -27,7 +27,7 @@ def get_session(master: str | None = None, app: str = "starmart", partitions: in
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     if partitions:
@@ -69,3 +69,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (survives executor loss) and cut its lineage."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read it
+    back: lineage is cut, the data survives executor loss, and Catalyst gets
+    real size statistics for the next joins (broadcast decisions)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
