@@ -43,7 +43,11 @@ def number_rows(df: DataFrame, order_by, start=1, id_col: str = "id") -> DataFra
     not by the data. Equal ``order_by`` values get distinct, arbitrary ids.
     """
     order_by = _cols(order_by)
-    ranged = (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    # a hash of the whole row joins the range key: rows with equal order values
+    # (a hot key) are spread over several partitions instead of one task
+    salt = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_salt")
+    ranged = (df.select("*", salt).repartitionByRange(*order_by, "_salt").sortWithinPartitions(*order_by, "_salt")
+              .drop("_salt")
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
     # written once (shared folder): the counts read two small columns of it and

@@ -72,8 +72,17 @@ def _prepare_batch(batch: DataFrame, keys, dedupe: str, order_by) -> DataFrame:
     raise ValueError(f"unknown dedupe policy {dedupe!r}")
 
 
+def _small(df: DataFrame, small_batch) -> bool:
+    """``small_batch``: False (no), True (caller knows it is small) or a row bound
+    to check with a bounded count."""
+    if small_batch is True or small_batch is False:
+        return small_batch
+    from .keys import fits_broadcast
+    return fits_broadcast(df, int(small_batch))
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str] | None = None,
-           dedupe: str = "last", order_by=None) -> DataFrame:
+           dedupe: str = "last", order_by=None, small_batch=False) -> DataFrame:
     """Next snapshot of ``target`` after ``INSERT batch ON CONFLICT (keys) DO UPDATE SET update_cols``.
 
     * rows of ``target`` whose key is not in ``batch`` are kept;
@@ -81,6 +90,12 @@ def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str]
       the batch become NULL);
     * matched keys take ``update_cols`` from the batch (default: all non-key
       columns) and keep the rest from the target.
+
+    Plan: one full outer join on the keys (both sides shuffled once). With
+    ``small_batch`` (True, or a row bound that is checked) the batch is broadcast
+    instead and the target is only scanned, never shuffled: untouched rows by a
+    broadcast anti join, matched rows by a broadcast join, new keys by an anti
+    join against the (batch-sized) set of matched keys.
     """
     keys = _cols(keys)
     cols = target.columns
@@ -92,6 +107,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str]
     b = _prepare_batch(batch, keys, dedupe, order_by)
     b = b.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
                    for c in cols])
+    if _small(b, small_batch):
+        return _upsert_broadcast(target, b, keys, cols, update_cols)
     t = target.select(*cols, F.lit(True).alias("_in_t"))
     b = b.select(*[F.col(c).alias(c if c in keys else f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
     j = t.join(b, keys, "full_outer")
@@ -106,12 +123,26 @@ def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str]
     return j.select(*out)
 
 
-def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json: str | None = None) -> DataFrame:
+def _upsert_broadcast(target: DataFrame, b: DataFrame, keys, cols, update_cols) -> DataFrame:
+    bk = F.broadcast(b.select(*keys))
+    untouched = target.join(bk, keys, "left_anti")
+    bb = F.broadcast(b.select(*[F.col(c).alias(c if c in keys else f"_b_{c}") for c in cols]))
+    matched = target.join(bb, keys, "inner").select(
+        *[F.col(c) if c in keys else (F.col(f"_b_{c}") if c in update_cols else F.col(c)).alias(c) for c in cols])
+    hit = target.join(bk, keys, "left_semi").select(*keys)
+    new = b.join(F.broadcast(hit), keys, "left_anti").select(*cols)
+    return untouched.select(*cols).unionByName(matched).unionByName(new)
+
+
+def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json: str | None = None,
+                  small_batch=False) -> DataFrame:
     """Next snapshot after ``INSERT batch ON CONFLICT DO NOTHING``.
 
     ``keys``: the unique columns (default: all columns). ``canonical_json``: name
     of a JSON text column that *is* the key (JSONB semantics: key order, blanks
     and ``2.0`` vs ``2`` do not matter); it is stored in canonical form.
+    With ``small_batch`` the target is probed with the broadcast batch keys
+    instead of being shuffled.
     """
     cols = target.columns
     b = batch.select(*cols)
@@ -121,7 +152,12 @@ def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json
         t = t.withColumn(canonical_json, canonical(canonical_json))
         keys = [canonical_json]
     keys = cols if keys is None else _cols(keys)
-    new = b.dropDuplicates(keys).join(t.select(*keys), keys, "left_anti")
+    b = b.dropDuplicates(keys)
+    if _small(b, small_batch):
+        present = t.join(F.broadcast(b.select(*keys)), keys, "left_semi").select(*keys)
+        new = b.join(F.broadcast(present), keys, "left_anti")
+    else:
+        new = b.join(t.select(*keys), keys, "left_anti")
     return t.unionByName(new)
 
 

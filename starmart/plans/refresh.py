@@ -9,10 +9,10 @@ and the DDS cursor is saved last, so a failed run is simply replayed.
 
 from __future__ import annotations
 
-import json
-import os
+import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,37 +59,47 @@ def build_marts(w: dict, ledger_policy: str = "row_rate") -> dict:
 
 # ---- tables on storage --------------------------------------------------------------------
 class Warehouse:
-    """Parquet tables ``<root>/<layer>/<table>/v-<uuid>`` with a ``_CURRENT``
-    pointer file per table (a new snapshot becomes visible only after its
-    write finished)."""
+    """Parquet tables under ``root``: each write creates an immutable version
+    folder ``<root>/<layer>/<table>/v-<time>-<uuid>`` and, only after it
+    succeeded, appends one line to the version log ``<root>/_versions`` (a JSON
+    table written by Spark, so any shared file system works). Readers take the
+    newest logged version; a failed write is never visible."""
+
+    LOG_SCHEMA = "table string, version string, written_at long"
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+        self.spark, self.root = spark, root.rstrip("/")
 
     def _dir(self, qname: str) -> str:
         layer, name = qname.split(".", 1)
-        return os.path.join(self.root, layer, name)
+        return f"{self.root}/{layer}/{name}"
 
-    def read(self, qname: str) -> DataFrame | None:
-        ptr = os.path.join(self._dir(qname), "_CURRENT")
-        if not os.path.exists(ptr):
+    def _log(self) -> str:
+        return f"{self.root}/_versions"
+
+    def version(self, qname: str) -> str | None:
+        try:
+            log = self.spark.read.schema(self.LOG_SCHEMA).json(self._log())
+            rows = (log.where(F.col("table") == qname).orderBy(F.col("written_at").desc(), F.col("version").desc())
+                    .limit(1).collect())
+        except AnalysisException:
             return None
-        with open(ptr) as fh:
-            version = json.load(fh)["version"]
-        return self.spark.read.parquet(os.path.join(self._dir(qname), version))
+        return rows[0]["version"] if rows else None
+
+    def read(self, qname: str) -> DataFrame | None:
+        v = self.version(qname)
+        return None if v is None else self.spark.read.parquet(f"{self._dir(qname)}/{v}")
 
     def write(self, qname: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        version = f"v-{uuid.uuid4().hex}"
-        path = os.path.join(self._dir(qname), version)
+        now = time.time_ns()
+        version = f"v-{now}-{uuid.uuid4().hex[:8]}"
+        path = f"{self._dir(qname)}/{version}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        os.makedirs(self._dir(qname), exist_ok=True)
-        tmp = os.path.join(self._dir(qname), f"_CURRENT.{version}")
-        with open(tmp, "w") as fh:
-            json.dump({"version": version}, fh)
-        os.replace(tmp, os.path.join(self._dir(qname), "_CURRENT"))
+        entry = self.spark.createDataFrame([(qname, version, now)], self.LOG_SCHEMA)
+        entry.coalesce(1).write.mode("append").json(self._log())
         return self.spark.read.parquet(path)
 
 

@@ -7,8 +7,6 @@ columns, so ids are assigned by :func:`starmart.operators.keys.assign_surrogate`
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
@@ -100,17 +98,16 @@ def schema(qualified: str) -> StructType:
     return StructType.fromDDL(LAYERS[layer][name])
 
 
-def create_tables(spark: SparkSession, root: str, overwrite: bool = False) -> dict[str, str]:
-    """Create every table of the three layers as an empty Parquet folder (if absent).
-
-    Returns ``{qualified name: path}``.
-    """
-    paths = {}
+def create_tables(spark: SparkSession, root: str) -> dict[str, str]:
+    """Create every table of the three layers as an empty first version under
+    ``root`` when it has none yet. Returns ``{qualified name: version}``."""
+    from .plans.refresh import Warehouse
+    wh = Warehouse(spark, root)
+    out = {}
     for layer, tables in LAYERS.items():
         for name, ddl in tables.items():
-            path = os.path.join(root, layer, name)
-            paths[f"{layer}.{name}"] = path
-            exists = os.path.exists(os.path.join(path, "_SUCCESS"))
-            if overwrite or not exists:
-                spark.createDataFrame([], StructType.fromDDL(ddl)).write.mode("overwrite").parquet(path)
-    return paths
+            q = f"{layer}.{name}"
+            if wh.version(q) is None:
+                wh.write(q, spark.createDataFrame([], StructType.fromDDL(ddl)))
+            out[q] = wh.version(q)
+    return out
