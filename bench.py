@@ -40,7 +40,7 @@ def main() -> None:
     qs = catalog.queries()
     times = {}
     t0 = time.time()
-    stg = landing.staging(landing.Tables(spark, sf_dir), materialise=True)
+    stg = catalog._stg(spark, sf_dir)        # staging layer, written once
     w = build_warehouse(spark, stg, floor=landing.FIRST_LOAD_FLOOR)
     for df in w.values():
         run(df)

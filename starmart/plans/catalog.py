@@ -42,6 +42,18 @@ def _ts(s: str):
 
 FLOOR = landing.FIRST_LOAD_FLOOR
 
+_STAGING: dict = {}
+
+
+def _stg(spark: SparkSession, sf: str) -> dict:
+    """The staging layer derived from the driver tables, written once per session
+    and source folder (the detail-layer jobs of the source system read stored
+    staging tables too)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STAGING:
+        _STAGING[key] = landing.staging(Tables(spark, sf), materialise=True)
+    return _STAGING[key]
+
 # ============================== A: sources ==============================
 OUTBOX_CUT = "2024-01-15 00:00:00"
 
@@ -188,7 +200,7 @@ SELECT CAST(s_suppkey AS VARCHAR) restaurant_id, upper(s_name) restaurant_name,
             ELSE TIMESTAMP '2099-12-31' END active_to
 FROM supplier""")
 def q_upsert_partial_columns(spark, sf):
-    s = dds.restaurants_batch(landing.stg_restaurants(Tables(spark, sf)), floor=FLOOR)
+    s = dds.restaurants_batch(_stg(spark, sf)["restaurants"], floor=FLOOR)
     target = s.where(F.col("active_from") < _ts(TARGET_CUT)).withColumn(
         "active_to", F.col("active_from") + F.expr("INTERVAL 365 DAY"))
     batch = s.withColumns({"restaurant_name": F.upper("restaurant_name"),
@@ -255,7 +267,7 @@ SELECT CAST(o_orderkey AS VARCHAR), CASE o_orderstatus WHEN 'F' THEN 'CLOSED' EL
 FROM orders WHERE o_orderstatus <> 'O' AND o_orderdate = (SELECT max(o_orderdate) FROM orders)""")
 def q_append_boundary_duplicates(spark, sf):
     t = Tables(spark, sf)
-    stg = landing.staging(t)
+    stg = _stg(t.spark, t.sf_dir)
     w = _warehouse(spark, sf)
     first = dds.build_orders(stg["orders"], w["dm_users"], w["dm_restaurants"], w["dm_timestamps"],
                              w["deliveries"], None, floor=FLOOR, mode="append")
@@ -291,7 +303,7 @@ SELECT CAST(1 AS SMALLINT) id, max(o_orderdate) last_update_date FROM orders""")
 def q_cursor_max_ts(spark, sf):
     t = Tables(spark, sf)
     prev = spark.createDataFrame([(1, None)], "id smallint, last_update_date timestamp_ntz").where("false")
-    return dds.advance_cursor(landing.stg_orders(t), prev)
+    return dds.advance_cursor(_stg(t.spark, t.sf_dir)["orders"], prev)
 
 
 @query("cursor_per_type", """
@@ -319,7 +331,7 @@ def q_surrogate_keys(spark, sf):
 @query("apply_defaults", O.with_(O.PAY) + """SELECT order_id, product_id, count, total_sum,
      CAST(0 AS DECIMAL(19,5)) bonus_payment, CAST(0 AS DECIMAL(19,5)) bonus_grant FROM pay""")
 def q_apply_defaults(spark, sf):
-    pays = shred.explode_payments(landing.stg_bonus_events(Tables(spark, sf)))
+    pays = shred.explode_payments(_stg(spark, sf)["events"])
     schema = StructType.fromDDL("order_id string, product_id string, count int, total_sum decimal(19,5), "
                                 "bonus_payment decimal(19,5), bonus_grant decimal(19,5)")
     insert = pays.select("order_id", "product_id", "count", "total_sum")   # bonus columns not in the insert list
@@ -332,7 +344,7 @@ CURSOR_CUT = "1998-01-01 00:00:00"
 
 def _stored_cursor(t: Tables) -> DataFrame:
     """DDS cursor table as a previous run left it (newest order before the cut)."""
-    prev = landing.stg_orders(t).where(F.col("update_ts") < _ts(CURSOR_CUT))
+    prev = _stg(t.spark, t.sf_dir)["orders"].where(F.col("update_ts") < _ts(CURSOR_CUT))
     return dds.advance_cursor(prev, dds.empty(t.spark, "srv_wf_settings_ts"))
 
 
@@ -341,7 +353,7 @@ SELECT CAST(o_orderkey AS VARCHAR) object_id, o_orderdate update_ts FROM orders
 WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{CURSOR_CUT}')""")
 def q_cursor_filter_inclusive(spark, sf):
     t = Tables(spark, sf)
-    s = extract.since(landing.stg_orders(t), "update_ts", _stored_cursor(t), inclusive=True,
+    s = extract.since(_stg(t.spark, t.sf_dir)["orders"], "update_ts", _stored_cursor(t), inclusive=True,
                       floor="2023-10-22 00:00:00")
     return s.select("object_id", "update_ts")
 
@@ -352,7 +364,7 @@ WHERE o_orderdate >= TIMESTAMP '{CURSOR_CUT}'""")
 def q_cursor_default_floor(spark, sf):
     t = Tables(spark, sf)
     empty_cursor = dds.empty(spark, "srv_wf_settings_ts")
-    s = extract.since(landing.stg_orders(t), "update_ts", empty_cursor, inclusive=True, floor=CURSOR_CUT)
+    s = extract.since(_stg(t.spark, t.sf_dir)["orders"], "update_ts", empty_cursor, inclusive=True, floor=CURSOR_CUT)
     return s.select("object_id", "update_ts")
 
 
@@ -361,14 +373,14 @@ SELECT CAST(o_orderkey AS VARCHAR) object_id, o_orderdate update_ts FROM orders
 WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{CURSOR_CUT}')""")
 def q_cursor_filter_strict(spark, sf):
     t = Tables(spark, sf)
-    s = extract.since(landing.stg_orders(t), "update_ts", _stored_cursor(t), inclusive=False)
+    s = extract.since(_stg(t.spark, t.sf_dir)["orders"], "update_ts", _stored_cursor(t), inclusive=False)
     return s.select("object_id", "update_ts")
 
 
 @query("filter_status", """
 SELECT CAST(o_orderkey AS VARCHAR) order_key, 'CLOSED' order_status FROM orders WHERE o_orderstatus = 'F'""")
 def q_filter_status(spark, sf):
-    s = landing.stg_orders(Tables(spark, sf))
+    s = _stg(spark, sf)["orders"]
     d = J.parse("object_value", DOC_ORDER)
     o = s.select(F.col("object_id").alias("order_key"), d["final_status"].alias("order_status"))
     return o.where(F.col("order_status") == marts.CLOSED)
@@ -378,7 +390,7 @@ def q_filter_status(spark, sf):
 SELECT CAST(o_orderkey AS VARCHAR) object_id, {O.STATUS} final_status, strftime(o_orderdate, {O.FMT}) date
 FROM orders""")
 def q_json_text_field(spark, sf):
-    s = landing.stg_orders(Tables(spark, sf))
+    s = _stg(spark, sf)["orders"]
     return s.select("object_id", J.json_text("object_value", "final_status").alias("final_status"),
                     J.json_text("object_value", "date").alias("date"))
 
@@ -387,7 +399,7 @@ def q_json_text_field(spark, sf):
 SELECT CAST(o_orderkey AS VARCHAR) object_id, CAST(o_custkey AS VARCHAR) user_id,
        CAST(o_orderkey % {O.NS} AS VARCHAR) restaurant_id FROM orders""")
 def q_json_nested_field(spark, sf):
-    s = landing.stg_orders(Tables(spark, sf))
+    s = _stg(spark, sf)["orders"]
     return s.select("object_id", J.json_path("object_value", "user", "id").alias("user_id"),
                     J.json_path("object_value", "restaurant", "id").alias("restaurant_id"))
 
@@ -397,7 +409,7 @@ SELECT CAST(o_orderkey AS VARCHAR) object_id,
        CASE WHEN o_orderstatus = 'P' THEN 'malformed json' ELSE 'missing date' END reason
 FROM orders WHERE o_orderstatus IN ('P', 'O')""")
 def q_json_parse_quarantine(spark, sf):
-    s = landing.stg_orders(Tables(spark, sf))
+    s = _stg(spark, sf)["orders"]
     st = F.get_json_object("object_value", "$.final_status")
     # a damaged export: cancelled orders cut short, open orders without their date
     broken = s.withColumn("object_value", F.when(st == "CANCELLED", F.expr("substr(object_value, 1, length(object_value) - 1)"))
@@ -410,7 +422,7 @@ def q_json_parse_quarantine(spark, sf):
 @query("cast_timestamp", """
 SELECT CAST(o_orderkey AS VARCHAR) order_id, o_orderdate order_ts FROM orders WHERE o_orderstatus <> 'O'""")
 def q_cast_timestamp(spark, sf):
-    s = landing.stg_deliveries(Tables(spark, sf))
+    s = _stg(spark, sf)["deliveries"]
     return s.select(J.json_text("deliveri_info", "order_id").alias("order_id"),
                     casts.to_ts(J.json_text("deliveri_info", "order_ts")).alias("order_ts"))
 
@@ -420,7 +432,7 @@ SELECT DISTINCT o_orderdate ts, CAST(year(o_orderdate) AS SMALLINT) AS year, CAS
        CAST(day(o_orderdate) AS SMALLINT) AS day, strftime(o_orderdate, '%H:%M:%S') AS time, CAST(o_orderdate AS DATE) AS date
 FROM orders""")
 def q_timestamp_parts(spark, sf):
-    b = dds.timestamps_batch(landing.stg_orders(Tables(spark, sf)), floor=FLOOR)
+    b = dds.timestamps_batch(_stg(spark, sf)["orders"], floor=FLOOR)
     return b.drop("update_ts").dropDuplicates(["ts"])
 
 
@@ -428,7 +440,7 @@ def q_timestamp_parts(spark, sf):
 SELECT CAST(o_orderkey AS VARCHAR) order_id, CAST(1 + o_orderkey % 5 AS SMALLINT) rate,
        CAST(o_orderkey % 200 AS INTEGER) tip_whole FROM orders WHERE o_orderstatus <> 'O'""")
 def q_cast_integers(spark, sf):
-    s = landing.stg_deliveries(Tables(spark, sf))
+    s = _stg(spark, sf)["deliveries"]
     return s.select(J.json_text("deliveri_info", "order_id").alias("order_id"),
                     casts.to_int(J.json_text("deliveri_info", "rate"), "smallint").alias("rate"),
                     casts.to_int(J.json_text("deliveri_info", "tip_sum"), "int").alias("tip_whole"))
@@ -438,7 +450,7 @@ def q_cast_integers(spark, sf):
 SELECT order_id, product_id, total_sum, CAST(bonus_payment AS DECIMAL(14,2)) bonus_payment_2,
        CAST(bonus_grant AS DECIMAL(14,2)) bonus_grant_2 FROM pay""")
 def q_cast_decimals(spark, sf):
-    ev = landing.stg_bonus_events(Tables(spark, sf))
+    ev = _stg(spark, sf)["events"]
     items = ev.select(F.get_json_object("event_value", "$.order_id").alias("order_id"),
                       F.explode(F.from_json(F.get_json_object("event_value", "$.product_payments"),
                                             "array<string>")).alias("p"))
@@ -488,7 +500,7 @@ SELECT CAST(p_partkey % {O.NS} AS VARCHAR) restaurant_id, CAST(p_partkey AS VARC
 
 @query("explode_json_array", MENU_SQL)
 def q_explode_json_array(spark, sf):
-    r = landing.stg_restaurants(Tables(spark, sf))
+    r = _stg(spark, sf)["restaurants"]
     return shred.explode_menu(r).withColumnRenamed("object_id", "restaurant_id")
 
 
@@ -499,9 +511,9 @@ SELECT CAST(o_orderkey AS VARCHAR) order_id, CAST(1 + o_orderkey % 5 AS SMALLINT
 FROM orders JOIN tot ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'O'""")
 def q_payout_bands(spark, sf):
     t = Tables(spark, sf)
-    pays = shred.explode_payments(landing.stg_bonus_events(t))
+    pays = shred.explode_payments(_stg(t.spark, t.sf_dir)["events"])
     tot = pays.groupBy("order_id").agg(F.sum("total_sum").alias("total"))
-    d = landing.stg_deliveries(t).select(F.from_json("deliveri_info", DOC_DELIVERY).alias("d")).select("d.*")
+    d = _stg(t.spark, t.sf_dir)["deliveries"].select(F.from_json("deliveri_info", DOC_DELIVERY).alias("d")).select("d.*")
     j = d.join(tot, "order_id")
     return j.select("order_id", "rate", money.payout("total", "rate").cast("decimal(14,2)").alias("payout"))
 
@@ -512,7 +524,7 @@ SELECT order_id, CAST(t AS DECIMAL(14,2)) total, CAST(t * 0.25 AS DECIMAL(14,2))
        CAST(t - t * 0.25 - bp AS DECIMAL(14,2)) reward,
        CAST(t - CAST(t * 0.25 AS DECIMAL(14,2)) - bp AS DECIMAL(14,2)) reward_from_rounded_fee FROM s""")
 def q_settlement_fee_math(spark, sf):
-    pays = shred.explode_payments(landing.stg_bonus_events(Tables(spark, sf)))
+    pays = shred.explode_payments(_stg(spark, sf)["events"])
     s = pays.groupBy("order_id").agg(F.sum("total_sum").alias("t"), F.sum("bonus_payment").alias("bp"))
     return s.select("order_id", F.col("t").cast("decimal(14,2)").alias("total"),
                     money.fee("t").cast("decimal(14,2)").alias("fee"),
@@ -549,12 +561,12 @@ def q_conform_types(spark, sf):
 @query("explode_payments", O.with_(O.PAY) + """
 SELECT order_id, product_id, count, price, total_sum, bonus_payment, bonus_grant FROM pay""")
 def q_explode_payments(spark, sf):
-    return shred.explode_payments(landing.stg_bonus_events(Tables(spark, sf)))
+    return shred.explode_payments(_stg(spark, sf)["events"])
 
 
 @query("shred_text_parity", MENU_SQL)
 def q_shred_text_parity(spark, sf):
-    r = landing.stg_restaurants(Tables(spark, sf))
+    r = _stg(spark, sf)["restaurants"]
     # menus as the source system writes them: elements separated by "}, {"
     menu_text = F.regexp_replace(F.get_json_object("object_value", "$.menu"), r"\},\{", "}, {")
     elems = shred.shred_text(r.select("object_id", menu_text.alias("menu")), "menu", keep=("object_id",))
@@ -565,7 +577,7 @@ def q_shred_text_parity(spark, sf):
 
 def _natural_dims(t: Tables) -> dict:
     """Dimension batches keyed by natural keys (no surrogate ids needed)."""
-    stg = landing.staging(t)
+    stg = _stg(t.spark, t.sf_dir)
     return {
         "users": dds.users_batch(stg["users"], floor=FLOOR),
         "restaurants": dds.restaurants_batch(stg["restaurants"], floor=FLOOR),
@@ -595,15 +607,15 @@ def q_join_fanout(spark, sf):
         F.col("o_orderkey").cast("string").alias("order_id")), "order_id", "left_semi").withColumn(
         "order_ts", F.date_format(casts.to_ts("order_ts") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss"))
     deliveries = items.unionByName(again).select("order_id", casts.to_ts("order_ts").alias("order_ts"))
-    orders = landing.stg_orders(t).select(F.col("object_id").alias("order_key"))
+    orders = _stg(t.spark, t.sf_dir)["orders"].select(F.col("object_id").alias("order_key"))
     j = K.lookup(orders, deliveries, {"order_key": "order_id"}, {"order_ts": "order_ts"})
     return j.select("order_key", "order_ts")
 
 
 def _orders_with_payments(t: Tables) -> DataFrame:
-    pays = shred.explode_payments(landing.stg_bonus_events(t))
+    pays = shred.explode_payments(_stg(t.spark, t.sf_dir)["events"])
     d = F.from_json("object_value", DOC_ORDER)
-    o = landing.stg_orders(t).select(F.col("object_id").alias("order_id"), d["restaurant"]["id"].alias("restaurant_id"),
+    o = _stg(t.spark, t.sf_dir)["orders"].select(F.col("object_id").alias("order_id"), d["restaurant"]["id"].alias("restaurant_id"),
                                      casts.to_date(d["date"]).alias("date"))
     return pays.join(o, "order_id")
 
@@ -635,7 +647,7 @@ SELECT CAST(c_nationkey AS VARCHAR) courier_id, CAST(year(o_orderdate) AS SMALLI
        CAST(month(o_orderdate) AS SMALLINT) AS month, CAST(round(avg(1 + o_orderkey % 5)) AS SMALLINT) rate_avg
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'O' GROUP BY 1, 2, 3""")
 def q_agg_avg_rounded(spark, sf):
-    d = landing.stg_deliveries(Tables(spark, sf)).select(F.from_json("deliveri_info", DOC_DELIVERY).alias("d"))
+    d = _stg(spark, sf)["deliveries"].select(F.from_json("deliveri_info", DOC_DELIVERY).alias("d"))
     ts = casts.to_ts(F.col("d.order_ts"))
     g = d.groupBy(F.col("d.courier_id").alias("courier_id"), F.year(ts).cast("smallint").alias("year"),
                   F.month(ts).cast("smallint").alias("month")).agg(F.avg("d.rate").alias("rate_avg"))
@@ -649,8 +661,8 @@ UNION ALL SELECT 'not_null:courier_id', count(*) FROM orders WHERE o_orderstatus
 UNION ALL SELECT 'not_null:rate', count(*) FROM orders WHERE o_orderstatus = 'O'""")
 def q_dq_not_null(spark, sf):
     t = Tables(spark, sf)
-    orders = landing.stg_orders(t).select(F.col("object_id").alias("order_key"))
-    d = landing.stg_deliveries(t).select(F.from_json("deliveri_info", DOC_DELIVERY).alias("d")).select("d.*")
+    orders = _stg(t.spark, t.sf_dir)["orders"].select(F.col("object_id").alias("order_key"))
+    d = _stg(t.spark, t.sf_dir)["deliveries"].select(F.from_json("deliveri_info", DOC_DELIVERY).alias("d")).select("d.*")
     j = orders.join(d, orders["order_key"] == d["order_id"], "left")   # undelivered orders carry NULLs
     return Q.violation_counts(j, Q.not_null("order_key", "courier_id", "rate"))
 
@@ -671,7 +683,7 @@ FROM (SELECT DISTINCT o_orderdate FROM orders)
 UNION ALL SELECT 'range:day', count(*) FILTER (WHERE day(o_orderdate) < 1 OR day(o_orderdate) > 31)
 FROM (SELECT DISTINCT o_orderdate FROM orders)""")
 def q_dq_ranges(spark, sf):
-    ts = dds.timestamps_batch(landing.stg_orders(Tables(spark, sf)), floor=FLOOR).dropDuplicates(["ts"])
+    ts = dds.timestamps_batch(_stg(spark, sf)["orders"], floor=FLOOR).dropDuplicates(["ts"])
     rules = Q.in_range("year", 2022, 2500) + Q.in_range("month", 1, 12) + Q.in_range("day", 1, 31)
     return Q.violation_counts(ts, rules)
 
@@ -682,7 +694,7 @@ WHERE o_orderkey % {O.NS} IN (SELECT s_suppkey FROM supplier WHERE s_nationkey =
 def q_dq_foreign_keys(spark, sf):
     t = Tables(spark, sf)
     d = F.from_json("object_value", DOC_ORDER)
-    o = landing.stg_orders(t).select(F.col("object_id").alias("order_key"), d["restaurant"]["id"].alias("restaurant_id"))
+    o = _stg(t.spark, t.sf_dir)["orders"].select(F.col("object_id").alias("order_key"), d["restaurant"]["id"].alias("restaurant_id"))
     # restaurants of nation 0 were never loaded into the dimension: their orders are orphans
     dim = t["supplier"].where(F.col("s_nationkey") != 0).select(F.col("s_suppkey").cast("string").alias("rid"))
     return Q.foreign_key(o, "restaurant_id", dim, "rid")
@@ -692,7 +704,7 @@ def q_dq_foreign_keys(spark, sf):
 SELECT CAST(l_orderkey AS VARCHAR) order_id, CAST(l_partkey AS VARCHAR) product_id, count(*) n
 FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""")
 def q_dq_unique(spark, sf):
-    pays = shred.explode_payments(landing.stg_bonus_events(Tables(spark, sf)))
+    pays = shred.explode_payments(_stg(spark, sf)["events"])
     return Q.unique(pays, ["order_id", "product_id"])
 
 
@@ -708,7 +720,7 @@ def q_dq_length(spark, sf):
 @query("dq_numeric_fit", O.with_(O.PAY) + """
 SELECT order_id, CAST(sum(total_sum) AS DECIMAL(29,5)) total FROM pay GROUP BY 1 HAVING sum(total_sum) >= 1000000""")
 def q_dq_numeric_fit(spark, sf):
-    pays = shred.explode_payments(landing.stg_bonus_events(Tables(spark, sf)))
+    pays = shred.explode_payments(_stg(spark, sf)["events"])
     tot = pays.groupBy("order_id").agg(F.sum("total_sum").cast("decimal(29,5)").alias("total"))
     _, bad = Q.validate(tot, Q.fits("total", "decimal(8,2)"))
     return bad.select("order_id", "total")
@@ -724,7 +736,7 @@ def _warehouse(spark: SparkSession, sf: str) -> dict:
     the way a warehouse reuses its tables)."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = build_warehouse(spark, landing.staging(Tables(spark, sf), materialise=True), floor=FLOOR)
+        _WAREHOUSES[key] = build_warehouse(spark, _stg(spark, sf), floor=FLOOR)
     return _WAREHOUSES[key]
 
 
@@ -818,7 +830,7 @@ def q_refresh_end_to_end(spark, sf):
     from ..session import scratch_path
     from .refresh import refresh_all
     root = scratch_path(spark, "warehouse")
-    out = refresh_all(spark, landing.staging(Tables(spark, sf)), root, floor=FLOOR)
+    out = refresh_all(spark, _stg(spark, sf), root, floor=FLOOR)
     return out["dm_settlement_report"]
 
 

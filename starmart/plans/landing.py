@@ -186,5 +186,6 @@ def staging(t: Tables, materialise: bool = False) -> dict[str, DataFrame]:
            "couriers": stg_couriers(t), "deliveries": stg_deliveries(t), "events": stg_bonus_events(t)}
     if materialise:
         from ..session import materialise as write_once
-        stg = {k: write_once(v, f"stg-{k}") for k, v in stg.items()}
+        from .refresh import run_concurrently
+        stg = run_concurrently({k: (lambda k=k, v=v: write_once(v, f"stg-{k}")) for k, v in stg.items()})
     return stg

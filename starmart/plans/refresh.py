@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,14 +32,21 @@ def build_warehouse(spark: SparkSession, stg: dict, floor=DEFAULT_FLOOR, cursor=
     tg = {name: (targets or {}).get(name) for name in DDS}   # None: first load of that table
     keep = (lambda d: materialise_df(d, "dds")) if materialise else (lambda d: d)
     out = {}
-    out["dm_users"] = keep(dds.build_users(stg["users"], tg["dm_users"], cursor, floor))
-    out["dm_restaurants"] = keep(dds.build_restaurants(stg["restaurants"], tg["dm_restaurants"], cursor, floor))
-    out["dm_timestamps"] = keep(dds.build_timestamps(stg["orders"], tg["dm_timestamps"], cursor, floor))
-    out["couriers"] = keep(dds.build_couriers(stg["couriers"], tg["couriers"]))
-    out["dm_products"] = keep(dds.build_products(stg["restaurants"], out["dm_restaurants"], tg["dm_products"],
-                                                 cursor, floor))
-    out["deliveries"] = keep(dds.build_deliveries(stg["deliveries"], out["couriers"], tg["deliveries"],
-                                                  cursor, floor))
+    # independent tables are submitted as concurrent Spark jobs, in the groups of
+    # the data order: dimensions; products and deliveries; orders; sales
+    out.update(run_concurrently({
+        "dm_users": lambda: keep(dds.build_users(stg["users"], tg["dm_users"], cursor, floor)),
+        "dm_restaurants": lambda: keep(dds.build_restaurants(stg["restaurants"], tg["dm_restaurants"], cursor,
+                                                             floor)),
+        "dm_timestamps": lambda: keep(dds.build_timestamps(stg["orders"], tg["dm_timestamps"], cursor, floor)),
+        "couriers": lambda: keep(dds.build_couriers(stg["couriers"], tg["couriers"])),
+    }))
+    out.update(run_concurrently({
+        "dm_products": lambda: keep(dds.build_products(stg["restaurants"], out["dm_restaurants"], tg["dm_products"],
+                                                       cursor, floor)),
+        "deliveries": lambda: keep(dds.build_deliveries(stg["deliveries"], out["couriers"], tg["deliveries"],
+                                                        cursor, floor)),
+    }))
     out["dm_orders"] = keep(dds.build_orders(stg["orders"], out["dm_users"], out["dm_restaurants"],
                                              out["dm_timestamps"], out["deliveries"], tg["dm_orders"], cursor, floor,
                                              mode=orders_mode))
@@ -48,6 +56,16 @@ def build_warehouse(spark: SparkSession, stg: dict, floor=DEFAULT_FLOOR, cursor=
     return out
 
 
+def run_concurrently(jobs: dict, workers: int = 8) -> dict:
+    """Run independent job functions as concurrent Spark jobs (threads that only
+    submit work; the executors do it). Returns ``{name: result}``."""
+    if len(jobs) <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(jobs))) as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def build_marts(w: dict, ledger_policy: str = "row_rate") -> dict:
     return {
         "dm_settlement_report": marts.settlement_report(w["fct_product_sales"], w["dm_orders"], w["dm_restaurants"],
