@@ -46,10 +46,13 @@ def to_decimal(x, precision: int, scale: int, safe: bool = False) -> Column:
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
-def assign(col, target: DataType) -> Column:
-    """Assignment cast of ``col`` into a column of type ``target`` (D21)."""
+def assign(col, target: DataType, source: DataType | None = None) -> Column:
+    """Assignment cast of ``col`` into a column of type ``target`` (D21).
+    Fractions are rounded (half away from zero) before an integer cast."""
     c = _c(col)
     if isinstance(target, _INTEGRAL):
+        if isinstance(source, _INTEGRAL):
+            return c.cast(target)
         return F.round(c, 0).cast(target)
     if isinstance(target, DecimalType):
         return c.cast(target)
@@ -61,10 +64,10 @@ def conform(df: DataFrame, schema: StructType | str) -> DataFrame:
     missing columns as typed NULLs (defaults are applied separately)."""
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     cols = []
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
     for f in st.fields:
         if f.name in have:
-            cols.append(assign(F.col(f.name), f.dataType).alias(f.name))
+            cols.append(assign(F.col(f.name), f.dataType, have[f.name]).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import OPEN_END
+from ..session import materialise
 from .upsert import dedupe_last
 
 
@@ -22,7 +23,7 @@ def _cols(x) -> list[str]:
 
 def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "month",
                open_end: str = OPEN_END, active_from: str = "active_from",
-               active_to: str = "active_to") -> DataFrame:
+               active_to: str = "active_to", materialise_starts: bool = True) -> DataFrame:
     """History intervals from a change log.
 
     Rows equal (in ``attrs``) to the previous row of their key are collapsed;
@@ -44,6 +45,10 @@ def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "month",
     rows = rows.join(summ.select(*keys, "_b", "_pb_last"), [*keys, "_b"], "left")
     prev = F.when(F.col("_rn") == 1, F.col("_pb_last")).otherwise(F.col("_prev"))
     starts = rows.where(prev.isNull() | ~prev.eqNullSafe(F.col("_a"))).select(*keys, "_ts", "_a", "_b")
+    if materialise_starts:
+        # the interval starts feed two branches (next start inside the bucket,
+        # first start per bucket): written once instead of shuffling twice
+        starts = materialise(starts, "scd2-starts")
 
     # next start of the same key: inside the bucket, else first start of the next bucket that has one
     w2 = Window.partitionBy(*keys, "_b").orderBy(*order)
