@@ -50,14 +50,23 @@ def merge_dimension(target: DataFrame | None, batch: DataFrame, keys, order_by=N
     if target is None:
         cols = columns or [c for c in batch.columns if c != "id"]
         snap = batch.select(*cols)
-        known = None
-    else:
-        cols = [c for c in target.columns if c != "id"]
-        snap = upsert(target.select(*cols), batch.select(*cols), keys, update_cols=update_cols, dedupe="none")
-        known = target.select(*keys, "id")
+        if not with_ids:
+            return snap.select(F.lit(None).cast("bigint").alias("id"), *cols)
+        return with_surrogate(snap, keys)
+    # the id rides through the upsert as a column that is never updated: matched
+    # keys keep theirs, new keys arrive with NULL and are numbered after max(id).
+    # A batch proven small is broadcast, so the target is scanned, not shuffled.
+    cols = [c for c in target.columns if c != "id"]
+    update_cols = update_cols or [c for c in cols if c not in keys]
+    b = batch.select(*cols, F.lit(None).cast("bigint").alias("id"))
+    snap = upsert(target.select("id", *cols), b, keys, update_cols=update_cols, dedupe="none",
+                  small_batch=SMALL_DIM_ROWS)
     if not with_ids:
-        return snap.select(F.lit(None).cast("bigint").alias("id"), *cols)
-    return with_surrogate(snap, keys, known)
+        return snap
+    known = snap.where(F.col("id").isNotNull())
+    new = snap.where(F.col("id").isNull()).drop("id")
+    numbered = number_rows(new, keys, start=next_id(target)).select("id", *cols)
+    return known.unionByName(numbered)
 
 
 def _columns(table: str) -> list[str]:
