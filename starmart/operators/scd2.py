@@ -1,10 +1,16 @@
 """Slowly-changing history (type 2): build, apply a batch, as-of lookup.
 
 Ordered neighbour logic (previous version, next change) is computed with
-windows partitioned by (key, time bucket), not by key alone, so one key that
-holds a large share of all changes is still spread over many tasks. The
-neighbour across a bucket edge comes from a small per-(key, bucket) summary
-(one row per key and bucket), ordered per key.
+windows partitioned by (key, bucket), not by key alone. The neighbour across a
+bucket edge comes from a small per-(key, bucket) summary (one row per key and
+bucket), ordered per key.
+
+Buckets: ``bucket="range"`` (default) range-partitions the rows on (key, time,
+attributes), writes that copy once and uses the partition number as bucket, so
+a key holding a third of all rows is cut into many slices of about equal size
+whatever its time spread. A time unit (``"day"``, ``"month"``, ...) buckets by
+``date_trunc`` instead: no extra write, but all rows of one key and one period
+share a task.
 """
 
 from __future__ import annotations
@@ -21,7 +27,18 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "month",
+def _with_bucket(df: DataFrame, bucket: str, order: list, ts_col: str, name: str) -> DataFrame:
+    """Add ``_b``: a time bucket, or the partition of a range partitioning on
+    ``order`` (written once, so the buckets stay fixed if a task is re-run).
+    Partitions hold consecutive ranges, so per key the bucket number grows with
+    time like a time bucket does."""
+    if bucket != "range":
+        return df.withColumn("_b", F.date_trunc(bucket, ts_col))
+    ranged = df.repartitionByRange(*order).withColumn("_b", F.spark_partition_id())
+    return materialise(ranged, name)
+
+
+def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "range",
                open_end: str = OPEN_END, active_from: str = "active_from",
                active_to: str = "active_to", materialise_starts: bool = True) -> DataFrame:
     """History intervals from a change log.
@@ -34,8 +51,8 @@ def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "month",
     end = F.lit(open_end).cast("timestamp_ntz")
     rows = changes.select(*keys, F.col(ts).cast("timestamp_ntz").alias("_ts"),
                           F.struct(*[F.col(a) for a in attrs]).alias("_a"))
-    rows = rows.withColumn("_b", F.date_trunc(bucket, "_ts"))
     order = ["_ts", "_a"]
+    rows = _with_bucket(rows, bucket, [*keys, *order], "_ts", "scd2-ranged")
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     rows = rows.withColumns({"_prev": F.lag("_a").over(w), "_rn": F.row_number().over(w)})
 
@@ -61,7 +78,7 @@ def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "month",
                       F.coalesce("_next", "_nb_first", end).alias(active_to))
 
 
-def scd2_apply(history: DataFrame, batch: DataFrame, key, ts: str, attrs, bucket: str = "month",
+def scd2_apply(history: DataFrame, batch: DataFrame, key, ts: str, attrs, bucket: str = "range",
                open_end: str = OPEN_END, active_from: str = "active_from",
                active_to: str = "active_to") -> DataFrame:
     """Apply a batch of versions (possibly late, several per key) to a history.
@@ -83,7 +100,7 @@ def scd2_apply(history: DataFrame, batch: DataFrame, key, ts: str, attrs, bucket
 
 def asof_lookup(fact: DataFrame, dim: DataFrame, key, ts: str, take, how: str = "inner",
                 active_from: str = "active_from", active_to: str = "active_to",
-                bucket: str = "month") -> DataFrame:
+                bucket: str = "range") -> DataFrame:
     """Join each fact row to the dimension version valid at its time
     (``active_from <= ts < active_to``, same key).
 
@@ -105,15 +122,14 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key, ts: str, take, how: str =
     f = f.withColumn("_d", F.col("_d").cast(d.schema["_d"].dataType))
     d = d.withColumn("_f", F.col("_f").cast(f.schema["_f"].dataType))
     kk = [f"_k_{k}" for k in keys]
-    u = f.unionByName(d).withColumn("_b", F.date_trunc(bucket, "_t"))
+    u = _with_bucket(f.unionByName(d), bucket, [*kk, "_t", F.col("_is_dim").desc()], "_t", "asof-ranged")
     w = (Window.partitionBy(*kk, "_b").orderBy("_t", F.col("_is_dim").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn("_cand", F.last("_d", ignorenulls=True).over(w))
 
     # latest version of every earlier bucket, for facts with no version in their own bucket yet
-    dl = d.withColumn("_b", F.date_trunc(bucket, "_t")).groupBy(*kk, "_b").agg(
-        F.max_by("_d", F.struct("_t", "_d")).alias("_bd"))
-    fb = f.withColumn("_b", F.date_trunc(bucket, "_t")).select(*kk, "_b").dropDuplicates()
+    dl = u.where(F.col("_is_dim") == 1).groupBy(*kk, "_b").agg(F.max_by("_d", F.struct("_t", "_d")).alias("_bd"))
+    fb = u.where(F.col("_is_dim") == 0).select(*kk, "_b").dropDuplicates()
     summ = fb.join(dl, [*kk, "_b"], "full_outer")
     ws = Window.partitionBy(*kk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("_pd", F.last("_bd", ignorenulls=True).over(ws)).select(*kk, "_b", "_pd")

@@ -931,7 +931,7 @@ FROM c"""
 @query("scd2_build", SCD2_SQL.format(where=""))
 def q_scd2_build(spark, sf):
     e = Tables(spark, sf)["events"]
-    return scd2.scd2_build(e, "user_id", "ts", ["event_type"], bucket="day")
+    return scd2.scd2_build(e, "user_id", "ts", ["event_type"])
 
 
 SCD2_CUT = "2024-01-15 00:00:00"
@@ -940,9 +940,9 @@ SCD2_CUT = "2024-01-15 00:00:00"
 @query("scd2_apply", SCD2_SQL.format(where=""))
 def q_scd2_apply(spark, sf):
     e = Tables(spark, sf)["events"]
-    hist = scd2.scd2_build(e.where(F.col("ts") < _ts(SCD2_CUT)), "user_id", "ts", ["event_type"], bucket="day")
+    hist = scd2.scd2_build(e.where(F.col("ts") < _ts(SCD2_CUT)), "user_id", "ts", ["event_type"])
     batch = e.where(F.col("ts") >= _ts(SCD2_CUT)).select("user_id", "ts", "event_type")
-    return scd2.scd2_apply(hist, batch, "user_id", "ts", ["event_type"], bucket="day")
+    return scd2.scd2_apply(hist, batch, "user_id", "ts", ["event_type"])
 
 
 @query("scd2_asof", "WITH h AS (" + SCD2_SQL.format(where="WHERE event_type IN ('signup', 'purchase')") + """)
@@ -953,10 +953,10 @@ WHERE f.ts < h.active_to""")
 def q_scd2_asof(spark, sf):
     e = Tables(spark, sf)["events"]
     states = e.where(F.col("event_type").isin("signup", "purchase"))
-    hist = scd2.scd2_build(states, "user_id", "ts", ["event_type"], bucket="day")
+    hist = scd2.scd2_build(states, "user_id", "ts", ["event_type"])
     facts = e.where(~F.col("event_type").isin("signup", "purchase")).select("event_id", "user_id", "ts", "event_type")
     return scd2.asof_lookup(facts, hist.withColumnRenamed("event_type", "state"), "user_id", "ts",
-                            {"state": "state", "active_from": "state_since"}, bucket="day")
+                            {"state": "state", "active_from": "state_since"})
 
 
 def queries() -> dict:

@@ -250,3 +250,30 @@ def test_asof_lookup_matches_brute_force(spark):
     brute = sorted((f.n, v.name) for f in facts.collect() for v in hv
                    if v.restaurant_id == f.restaurant_id and v.active_from <= f.at < v.active_to)
     assert got == brute and (2, "Soup 2") in got and all(n != 0 for n, _ in got)
+
+
+def test_scd2_hot_key_is_split_and_exact(spark):
+    """One key holds most rows, all inside one day: range buckets cut it into
+    several slices, and the history still equals a brute-force walk."""
+    base = dt.datetime(2024, 1, 1)
+    data = [("hot", base + dt.timedelta(seconds=i), "ab"[(i // 3) % 2]) for i in range(3000)]
+    data += [(f"k{j}", base + dt.timedelta(seconds=j), "a") for j in range(50)]
+    df = spark.createDataFrame(data, "k string, ts timestamp_ntz, a string").repartition(8)
+    # at this size AQE would merge all ranges into one partition; at scale it
+    # merges only up to the advisory size, so keep every range apart here
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with_b = scd2._with_bucket(df.select("k", F.col("ts").alias("_ts"), F.struct("a").alias("_a")), "range",
+                                   ["k", "_ts", "_a"], "_ts", "test-ranged")
+        assert with_b.where(F.col("k") == "hot").select("_b").distinct().count() > 1
+        got = rows(scd2.scd2_build(df, "k", "ts", ["a"]), "k", "a", "active_from", "active_to")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    expect = []
+    for key in sorted({r[0] for r in data}):
+        seq = sorted((t, a) for k, t, a in data if k == key)
+        starts = [(t, a) for i, (t, a) in enumerate(seq) if i == 0 or seq[i - 1][1] != a]
+        for i, (t, a) in enumerate(starts):
+            end = starts[i + 1][0] if i + 1 < len(starts) else dt.datetime(2099, 12, 31)
+            expect.append((key, a, t, end))
+    assert got == sorted(expect)

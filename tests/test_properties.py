@@ -80,3 +80,19 @@ def test_no_single_partition_window_in_marts(spark):
         df = E.queries()[key](spark, SF)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan, key
+
+
+@SETTINGS
+@given(changes=changes_st)
+def test_scd2_range_buckets_equal_time_buckets(spark, changes):
+    base = dt.datetime(2023, 10, 1)
+    rows = [(k, base + dt.timedelta(hours=h), a) for k, h, a in changes]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, a string")
+    cols = ("k", "active_from", "active_to", "a")
+    by_day = scd2.scd2_build(df, "k", "ts", ["a"], bucket="day")
+    by_range = scd2.scd2_build(df, "k", "ts", ["a"], bucket="range")
+    assert _rows(by_range, *cols) == _rows(by_day, *cols)
+    facts = df.select("k", (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("at"))
+    got = {b: _rows(scd2.asof_lookup(facts, by_day, "k", "at", ["a"], how="left", bucket=b), "k", "at", "a")
+           for b in ("day", "range")}
+    assert got["day"] == got["range"]
