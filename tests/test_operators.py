@@ -253,11 +253,13 @@ def test_asof_lookup_matches_brute_force(spark):
 
 
 def test_scd2_hot_key_is_split_and_exact(spark):
-    """One key holds most rows, all inside one day: range buckets cut it into
-    several slices, and the history still equals a brute-force walk."""
+    """One key holds most rows, all inside one day, and another holds 2000 exact
+    copies of one row: range buckets cut both into several slices, and the
+    history still equals a brute-force walk."""
     base = dt.datetime(2024, 1, 1)
     data = [("hot", base + dt.timedelta(seconds=i), "ab"[(i // 3) % 2]) for i in range(3000)]
     data += [(f"k{j}", base + dt.timedelta(seconds=j), "a") for j in range(50)]
+    data += [("copies", base, "a")] * 2000 + [("copies", base + dt.timedelta(seconds=1), "b")]
     df = spark.createDataFrame(data, "k string, ts timestamp_ntz, a string").repartition(8)
     # at this size AQE would merge all ranges into one partition; at scale it
     # merges only up to the advisory size, so keep every range apart here
@@ -266,6 +268,7 @@ def test_scd2_hot_key_is_split_and_exact(spark):
         with_b = scd2._with_bucket(df.select("k", F.col("ts").alias("_ts"), F.struct("a").alias("_a")), "range",
                                    ["k", "_ts", "_a"], "_ts", "test-ranged")
         assert with_b.where(F.col("k") == "hot").select("_b").distinct().count() > 1
+        assert with_b.where(F.col("k") == "copies").select("_b").distinct().count() > 1
         got = rows(scd2.scd2_build(df, "k", "ts", ["a"]), "k", "a", "active_from", "active_to")
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
