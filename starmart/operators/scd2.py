@@ -34,11 +34,14 @@ def _with_bucket(df: DataFrame, bucket: str, order: list, ts_col: str, name: str
     time like a time bucket does."""
     if bucket != "range":
         return df.withColumn("_b", F.date_trunc(bucket, ts_col))
-    # the row's position ends the range key, so even exact copies of one row
-    # (a hot group of copies) are cut over several ranges; the windows order by
-    # the other columns only, so where ties are cut does not change the result
-    ranged = (df.withColumn("_pos", F.monotonically_increasing_id())
-              .repartitionByRange(*order, "_pos").drop("_pos")
+    # a hash of the whole row and then the row's position end the range key:
+    # rows that tie on ``order`` are cut apart by content (the same way if a task
+    # is re-run), and only exact copies of one row (a hot group of copies) by
+    # position, where it does not matter which copy lands where. The windows
+    # order by ``order`` alone, so where ties are cut does not change the result.
+    ranged = (df.withColumns({"_h": F.xxhash64(*[F.col(c) for c in df.columns]),
+                              "_pos": F.monotonically_increasing_id()})
+              .repartitionByRange(*order, "_h", "_pos").drop("_h", "_pos")
               .withColumn("_b", F.spark_partition_id()))
     return materialise(ranged, name)
 
