@@ -135,21 +135,24 @@ def _upsert_broadcast(target: DataFrame, b: DataFrame, keys, cols, update_cols)
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json: str | None = None,
-                  small_batch=False) -> DataFrame:
+                  small_batch=False, target_canonical: bool = False) -> DataFrame:
     """Next snapshot after ``INSERT batch ON CONFLICT DO NOTHING``.
 
     ``keys``: the unique columns (default: all columns). ``canonical_json``: name
     of a JSON text column that *is* the key (JSONB semantics: key order, blanks
     and ``2.0`` vs ``2`` do not matter); it is stored in canonical form.
     With ``small_batch`` the target is probed with the broadcast batch keys
-    instead of being shuffled.
+    instead of being shuffled. ``target_canonical``: the target was written by
+    this function (its documents are canonical already), so only the batch is
+    parsed; otherwise every target document is canonicalised too.
     """
     cols = target.columns
     b = batch.select(*cols)
     t = target
     if canonical_json:
         b = b.withColumn(canonical_json, canonical(canonical_json))
-        t = t.withColumn(canonical_json, canonical(canonical_json))
+        if not target_canonical:
+            t = t.withColumn(canonical_json, canonical(canonical_json))
         keys = [canonical_json]
     keys = cols if keys is None else _cols(keys)
     b = b.dropDuplicates(keys)

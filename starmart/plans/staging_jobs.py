@@ -83,7 +83,8 @@ RUNS_SCHEMA = "run_date timestamp_ntz"
 
 def stage_api(wh: Warehouse, couriers: DataFrame | None, deliveries: DataFrame | None, run_date: str,
               days: int = 7) -> dict:
-    """Couriers: whole snapshot, insert-if-absent on the canonical document.
+    """Couriers: whole snapshot, insert-if-absent on the canonical document (the
+    staged tables are only written here, so their documents are canonical).
     Deliveries: items with ``order_ts`` in ``[previous run date (or run date -
     days), run date)``; the run is logged only after the rows were written."""
     spark: SparkSession = wh.spark
@@ -91,7 +92,7 @@ def stage_api(wh: Warehouse, couriers: DataFrame | None, deliveries: DataFrame |
     if couriers is not None:
         docs = api.stage_api(couriers, "courier_info")
         out["couriers"] = wh.write("stg.couriers", insert_absent(_current(wh, "stg.couriers"), docs,
-                                                                 canonical_json="courier_info"))
+                                                                 canonical_json="courier_info", target_canonical=True))
     if deliveries is not None:
         runs = wh.read(RUNS)
         if runs is None:
@@ -102,7 +103,7 @@ def stage_api(wh: Warehouse, couriers: DataFrame | None, deliveries: DataFrame |
         w = extract.run_window(log, "run_date", "prev").first()
         docs = api.stage_api(deliveries, "deliveri_info", window=(w.window_from, w.window_to), ts_col="order_ts")
         out["deliveries"] = wh.write("stg.deliveries", insert_absent(_current(wh, "stg.deliveries"), docs,
-                                                                     canonical_json="deliveri_info"))
+                                                                     canonical_json="deliveri_info", target_canonical=True))
         out["api_runs"] = wh.write(RUNS, runs.unionByName(spark.createDataFrame([], RUNS_SCHEMA).union(
             log.select("run_date"))).dropDuplicates())
     return out

@@ -72,7 +72,8 @@ def stream_insert_absent(stream: DataFrame, sink: TableSink, doc_col: str, ts_co
 
     def each(batch: DataFrame, epoch: int) -> None:
         cur = sink.current()
-        sink.replace(insert_absent(cur, batch.select(*cur.columns), canonical_json=doc_col))
+        # the sink is only written here, so its documents are canonical already
+        sink.replace(insert_absent(cur, batch.select(*cur.columns), canonical_json=doc_col, target_canonical=True))
     _run(dedup.writeStream.foreachBatch(each).outputMode("append"), checkpoint)
 
 

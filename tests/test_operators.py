@@ -79,6 +79,8 @@ def test_insert_absent_canonical_json(spark):        # B3
     out = U.insert_absent(target, batch, canonical_json="doc")
     assert sorted(r.doc for r in out.collect()) == ['{"a":1,"b":2}', '{"a":3}']
     assert U.insert_absent(out, batch, canonical_json="doc").count() == 2        # idempotent
+    again = U.insert_absent(out, batch, canonical_json="doc", target_canonical=True)   # stored form reused
+    assert sorted(r.doc for r in again.collect()) == ['{"a":1,"b":2}', '{"a":3}']
 
 
 def test_cursor_per_type_and_defaults(spark):
