@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.keys import BROADCAST_MAX_ROWS
 from ..operators.upsert import cursor_per_type, insert_absent, upsert
 from ..schemas import DEFAULT_FLOOR, STG
 from ..sources import api, documents, extract
@@ -39,13 +40,16 @@ def stage_bonus(wh: Warehouse, outbox: DataFrame, ranks: DataFrame | None = None
     batch = extract.extract_incremental(outbox, "id", extract.cursor_value(settings, "id"))
     events = _current(wh, "stg.bonussystem_events")
     out["bonussystem_events"] = wh.write("stg.bonussystem_events",
-                                         upsert(events, batch, conflict_key, dedupe="last", order_by="id"))
+                                         upsert(events, batch, conflict_key, dedupe="last", order_by="id",
+                                                small_batch=BROADCAST_MAX_ROWS))
     if ranks is not None:
         out["bonussystem_ranks"] = wh.write("stg.bonussystem_ranks", upsert(
-            _current(wh, "stg.bonussystem_ranks"), ranks, "id", dedupe="last", order_by="id"))
+            _current(wh, "stg.bonussystem_ranks"), ranks, "id", dedupe="last", order_by="id",
+            small_batch=BROADCAST_MAX_ROWS))
     if users is not None:
         out["bonussystem_users"] = wh.write("stg.bonussystem_users", upsert(
-            _current(wh, "stg.bonussystem_users"), users, "id", dedupe="last", order_by="id"))
+            _current(wh, "stg.bonussystem_users"), users, "id", dedupe="last", order_by="id",
+            small_batch=BROADCAST_MAX_ROWS))
     # cursor last; an empty batch leaves it as it was
     out["srv_wf_settings_posgresql"] = wh.write("stg.srv_wf_settings_posgresql", upsert(
         settings, cursor_per_type(batch, "event_type", "id", "event_value"), "workflow_key", dedupe="none"))
@@ -67,7 +71,7 @@ def stage_orders_system(wh: Warehouse, collections: dict, floor: str = DEFAULT_F
         cur = _current(wh, q)
         staged = staged.withColumn("id", F.lit(None).cast("bigint"))
         out[q] = wh.write(q, upsert(cur, staged, "object_id", update_cols=["object_value", "update_ts"],
-                                    dedupe="last", order_by="update_ts"))
+                                    dedupe="last", order_by="update_ts", small_batch=BROADCAST_MAX_ROWS))
         if name == "orders":
             new_cursor = out[q].agg(F.max("update_ts").alias("last_update_ts")).where(
                 F.col("last_update_ts").isNotNull()).select(F.lit(1).cast("smallint").alias("id"), "last_update_ts")
@@ -92,7 +96,8 @@ def stage_api(wh: Warehouse, couriers: DataFrame | None, deliveries: DataFrame |
     if couriers is not None:
         docs = api.stage_api(couriers, "courier_info")
         out["couriers"] = wh.write("stg.couriers", insert_absent(_current(wh, "stg.couriers"), docs,
-                                                                 canonical_json="courier_info", target_canonical=True))
+                                                                 canonical_json="courier_info", target_canonical=True,
+                                                                 small_batch=BROADCAST_MAX_ROWS))
     if deliveries is not None:
         runs = wh.read(RUNS)
         if runs is None:
@@ -103,7 +108,8 @@ def stage_api(wh: Warehouse, couriers: DataFrame | None, deliveries: DataFrame |
         w = extract.run_window(log, "run_date", "prev").first()
         docs = api.stage_api(deliveries, "deliveri_info", window=(w.window_from, w.window_to), ts_col="order_ts")
         out["deliveries"] = wh.write("stg.deliveries", insert_absent(_current(wh, "stg.deliveries"), docs,
-                                                                     canonical_json="deliveri_info", target_canonical=True))
+                                                                     canonical_json="deliveri_info", target_canonical=True,
+                                                                     small_batch=BROADCAST_MAX_ROWS))
         out["api_runs"] = wh.write(RUNS, runs.unionByName(spark.createDataFrame([], RUNS_SCHEMA).union(
             log.select("run_date"))).dropDuplicates())
     return out

@@ -6,6 +6,8 @@ same checkpoint adds nothing). Keyed sinks are written with ``foreachBatch``
 calling the batch operators, and are idempotent on replay (upsert,
 insert-if-absent), so a micro-batch re-run after a failure gives the same table.
 All runs here use ``trigger(availableNow=True)``: process what has landed, stop.
+A micro-batch is usually small next to the table it feeds: when its size is
+within a checked bound it is broadcast, and the table is scanned, not shuffled.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.keys import BROADCAST_MAX_ROWS
 from ..operators.upsert import insert_absent, upsert
 from ..plans.refresh import Warehouse
 
@@ -60,7 +63,8 @@ def stream_upsert(stream: DataFrame, sink: TableSink, keys, order_by, checkpoint
     """Micro-batch upsert (last row per key wins inside a batch)."""
     def each(batch: DataFrame, epoch: int) -> None:
         cur = sink.current()
-        sink.replace(upsert(cur, batch.select(*cur.columns), keys, dedupe="last", order_by=order_by))
+        sink.replace(upsert(cur, batch.select(*cur.columns), keys, dedupe="last", order_by=order_by,
+                            small_batch=BROADCAST_MAX_ROWS))
     _run(stream.writeStream.foreachBatch(each).outputMode("append"), checkpoint)
 
 
@@ -73,7 +77,8 @@ def stream_insert_absent(stream: DataFrame, sink: TableSink, doc_col: str, ts_co
     def each(batch: DataFrame, epoch: int) -> None:
         cur = sink.current()
         # the sink is only written here, so its documents are canonical already
-        sink.replace(insert_absent(cur, batch.select(*cur.columns), canonical_json=doc_col, target_canonical=True))
+        sink.replace(insert_absent(cur, batch.select(*cur.columns), canonical_json=doc_col, target_canonical=True,
+                                   small_batch=BROADCAST_MAX_ROWS))
     _run(dedup.writeStream.foreachBatch(each).outputMode("append"), checkpoint)
 
 
@@ -87,6 +92,12 @@ def stream_daily_totals(stream: DataFrame, sink: TableSink, ts_col: str, group:
            .select(F.to_date(F.col("w.start")).alias("day"), *group, *sums.keys()))
 
     def each(batch: DataFrame, epoch: int) -> None:
-        cur = sink.current()
-        sink.replace(upsert(cur, batch.select(*cur.columns), ["day", *group], dedupe="none"))
+        # the batch comes out of the state store: kept while it is counted and applied
+        batch.persist()
+        try:
+            cur = sink.current()
+            sink.replace(upsert(cur, batch.select(*cur.columns), ["day", *group], dedupe="none",
+                                small_batch=BROADCAST_MAX_ROWS))
+        finally:
+            batch.unpersist()
     _run(agg.writeStream.foreachBatch(each).outputMode("update"), checkpoint)
