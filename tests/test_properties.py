@@ -87,8 +87,8 @@ def test_no_single_partition_window_in_marts(spark):
 
 
 @SETTINGS
-@given(changes=changes_st)
-def test_scd2_range_buckets_equal_time_buckets(spark, changes):
+@given(changes=changes_st, cut=st.integers(0, 400))
+def test_scd2_range_buckets_equal_time_buckets(spark, changes, cut):
     base = dt.datetime(2023, 10, 1)
     rows = [(k, base + dt.timedelta(hours=h), a) for k, h, a in changes]
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, a string")
@@ -104,6 +104,10 @@ def test_scd2_range_buckets_equal_time_buckets(spark, changes):
         assert _rows(by_range, *cols) == _rows(by_day, *cols)
         asof_range = _rows(scd2.asof_lookup(facts, by_day, "k", "at", ["a"], how="left", bucket="range"),
                            "k", "at", "a")
+        c = F.lit(base + dt.timedelta(hours=cut))
+        hist = scd2.scd2_build(df.where(F.col("ts") < c), "k", "ts", ["a"], bucket="range")
+        applied = scd2.scd2_apply(hist, df.where(F.col("ts") >= c), "k", "ts", ["a"], bucket="range")
+        assert _rows(applied, *cols) == _rows(by_day, *cols)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert asof_range == asof_day
