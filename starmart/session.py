@@ -48,15 +48,20 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator to a shared file system. Only when it
-    is unset (unit tests, a laptop) do we pick a scratch folder ourselves.
+    On a cluster the setting names a shared file system. Where it is unset, the
+    folder given to ``setCheckpointDir`` is used; a local session without either
+    gets a scratch folder of its own, any other session an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = root or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="starmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-ckpt-"))
+        root = sc.getCheckpointDir()
+    elif sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
@@ -65,12 +70,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "starmart", f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (survives executor loss) and cut its lineage."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and read it
     back: lineage is cut, the data survives executor loss, and Catalyst gets

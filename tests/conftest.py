@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,16 +10,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from pyspark.sql import SparkSession
 
-    from starmart.session import configure
+    from starmart.session import checkpoint_root, configure
     b = (SparkSession.builder.master("local[4]").appName("starmart-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     configure(s)
-    # tests only: use a scratch checkpoint folder when the session names none
-    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir", None)):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="starmart-test-ckpt-"))
+    checkpoint_root(s)   # unset in tests: a scratch folder of this session
     yield s
 
 
