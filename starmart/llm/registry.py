@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-from . import lines, mixing, sharding, simhash, token_output
+from . import decontaminate, lines, mixing, sharding, simhash, token_output, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -46,6 +46,18 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "contaminated", "items")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt to 24 shards, equal in rows."""
     rows = sharding.digest(table(spark, sf_dir, "documents"))
@@ -102,7 +114,13 @@ FROM d LEFT JOIN t ON t.doc_id = d.doc_id""",
 }
 
 
-QUERIES = [op1_mixing, op2_simhash, op3_tokens, op7_sharding, op10_lines]
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over all documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = [op1_mixing, op2_simhash, op3_tokens, op5_toxicity, op6_decontaminate, op7_sharding, op10_lines, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
