@@ -16,12 +16,13 @@ output column are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -108,18 +109,18 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterato
         yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
 
 
+def _finder(items: Broadcast, rate: float) -> Callable[[Column], Column]:
+    def apply(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(items.value, rate)
+        for s in texts:
+            yield pd.Series([sorted(matcher.find(t)) for t in s])
+    return F.pandas_udf(apply, "array<long>")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """``docs`` with ``items`` (sorted ids of the items found) and ``contaminated``."""
     keep = common.replace_columns(docs, ["items", "contaminated"])
-    found = []
-    for items in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
-        def apply(texts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            matcher = Matcher(shared.value, rate)
-            for s in texts:
-                yield pd.Series([sorted(matcher.find(t)) for t in s])
-
-        found.append(F.pandas_udf(apply, "array<long>")("text"))
+    share = docs.sparkSession.sparkContext.broadcast
+    found = [_finder(share(items), rate)("text") for items in item_blocks(benchmark)]
     return (docs.select(*keep, F.array_sort(F.flatten(F.array(*found))).alias("items"))
             .withColumn("contaminated", F.size("items") > 0))
