@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-from . import decontaminate, lines, mixing, sharding, simhash, token_output, toxicity
+from . import ann, decontaminate, lines, mixing, sharding, simhash, token_output, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,6 +65,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that later occurrences of three-line windows cover."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -120,7 +125,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = [op1_mixing, op2_simhash, op3_tokens, op5_toxicity, op6_decontaminate, op7_sharding, op10_lines, pipeline]
+QUERIES = [op1_mixing, op2_simhash, op3_tokens, op5_toxicity, op6_decontaminate, op7_sharding, op9_ann,
+           op10_lines, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
