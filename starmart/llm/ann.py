@@ -168,10 +168,10 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
     parts = F.broadcast(parts)       # one row per leaf, at most MAX_FIT_ROWS
     data = (placed.join(parts, placed["leaf"] == parts["_leaf"])
             .select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("_n")).alias("i"),
-                    F.explode(F.sequence(F.lit(0), F.col("_m") - 1)).cast("long").alias("j"), "vec_id", "v"))
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m").cast("long") - 1)).alias("j"), "vec_id", "v"))
     asked = visits.join(queries, "query_id")
     asked = (asked.join(parts, asked["leaf"] == parts["_leaf"])
-             .select("leaf", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).cast("long").alias("i"),
+             .select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)).alias("i"),
                      F.pmod(F.xxhash64("query_id"), F.col("_m")).alias("j"), "query_id", "v"))
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-from . import ann, decontaminate, lines, mixing, sharding, simhash, token_output, toxicity
+from . import ann, decontaminate, lines, mixing, pii, sharding, simhash, token_output, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,6 +65,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data found in every document."""
+    return pii.digest(pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows found of every vector whose id is divisible by 20."""
     return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
@@ -125,7 +130,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = [op1_mixing, op2_simhash, op3_tokens, op5_toxicity, op6_decontaminate, op7_sharding, op9_ann,
+QUERIES = [op1_mixing, op2_simhash, op3_tokens, op5_toxicity, op6_decontaminate, op7_sharding, op8_pii, op9_ann,
            op10_lines, pipeline]
 
 
