@@ -169,16 +169,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
     data = (placed.join(parts, placed["leaf"] == parts["_leaf"])
             .select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("_n")).alias("i"),
                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m").cast("long") - 1)).alias("j"), "vec_id", "v"))
-    asked = visits.join(queries, "query_id")
+    asked = visits.join(queries.withColumnRenamed("v", "qv"), "query_id")
     asked = (asked.join(parts, asked["leaf"] == parts["_leaf"])
              .select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)).alias("i"),
-                     F.pmod(F.xxhash64("query_id"), F.col("_m")).alias("j"), "query_id", "v"))
+                     F.pmod(F.xxhash64("query_id"), F.col("_m")).alias("j"), "query_id", "qv"))
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         x, ids = _matrix(right["v"]), right["vec_id"].to_numpy()
-        q, q_ids = _matrix(left["v"]), left["query_id"].to_numpy()
+        q, q_ids = _matrix(left["qv"]), left["query_id"].to_numpy()
         return pd.concat([_best(q_ids[a:a + 256], q[a:a + 256], ids, x, k) for a in range(0, len(q), 256)])
 
     found = asked.groupBy("leaf", "i", "j").cogroup(data.groupBy("leaf", "i", "j")).applyInPandas(block, OUT)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-from . import ann, decontaminate, lines, mixing, pii, sharding, simhash, token_output, toxicity
+from . import ann, decontaminate, lines, mixing, pii, sharding, simhash, substrings, token_output, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -46,6 +46,12 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words that repeated 35-word windows cover."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.dedup_substrings(docs, 35).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +114,19 @@ SELECT doc_id, size, source_size, target,
        (size * (epochs + (rest > 0 AND before + size / 2.0 <= rest)::INTEGER))::BIGINT AS taken,
        (epochs + (rest > 0 AND before + size / 2.0 <= rest)::INTEGER)::INTEGER AS copies
 FROM p""",
+    "op4_substrings": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS l FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(l) - 33)) AS i, l FROM d WHERE len(l) >= 35),
+k AS (SELECT doc_id, i, md5(array_to_string(l[i:i + 34], ' ')) AS win FROM w),
+f AS (SELECT doc_id, i, count(*) OVER (PARTITION BY win) AS n FROM k),
+c AS (SELECT DISTINCT doc_id, i + j AS i FROM (SELECT doc_id, i, unnest(range(0, 35)) AS j FROM f WHERE n > 1)),
+n AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS word FROM d),
+t AS (SELECT n.doc_id, count(*) AS n_words, count(c.i) AS n_removed,
+             coalesce(string_agg(word, ' ' ORDER BY n.i) FILTER (WHERE c.i IS NULL), '') AS kept
+      FROM n LEFT JOIN c ON n.doc_id = c.doc_id AND n.i = c.i GROUP BY n.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id""",
     "op10_lines": """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 w AS (SELECT doc_id, unnest(range(1, len(l) - 1)) AS i, l FROM d WHERE len(l) >= 3),
@@ -130,7 +149,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = [op1_mixing, op2_simhash, op3_tokens, op5_toxicity, op6_decontaminate, op7_sharding, op8_pii, op9_ann,
+QUERIES = [op1_mixing, op2_simhash, op3_tokens, op4_substrings, op5_toxicity, op6_decontaminate, op7_sharding, op8_pii, op9_ann,
            op10_lines, pipeline]
 
 
