@@ -98,9 +98,7 @@ def _confirm(window: int):
                 at = s.hash[s.phrase_at]
                 starts = np.flatnonzero(np.isin(at, np.asarray(wanted, np.int64)))
                 w, first, n = np.unique(s.windows(starts), axis=0, return_index=True, return_counts=True)
-                where = s.phrase_at[starts[first]]
-                yield pd.DataFrame({"wa": w[:, 0], "wb": w[:, 1], "n": n, "phrase": s.hash[where],
-                                    "words": [b" ".join(words[p:p + PHRASE]).decode() for p in where.tolist()]})
+                yield pd.DataFrame({"wa": w[:, 0], "wb": w[:, 1], "n": n, "phrase": s.hash[s.phrase_at[starts[first]]]})
     return run
 
 
@@ -108,19 +106,24 @@ def _locate(window: int):
     def run(docs: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"doc_id": [], "_h": [], "starts": []}
         if len(docs) and len(passages):
-            auto = ahocorasick.Automaton()
-            for p in passages["words"].unique():
-                auto.add_word(f" {p} ", len(p) + 2)
-            auto.make_automaton()
+            recurring = passages["phrase"].unique()
+            texts = [_words(t) for t in docs["text"]]
+            sketches = [Sketch(w, window) for w in texts]
+            auto = ahocorasick.Automaton()     # of the confirmed phrases, spelt out by the part's own documents
+            for words, s in zip(texts, sketches, strict=True):
+                own = np.unique(s.phrase_at)
+                for p in own[np.isin(s.hash[own], recurring)].tolist():
+                    phrase = b" ".join(words[p:p + PHRASE]).decode()
+                    auto.add_word(f" {phrase} ", len(phrase) + 2)
+            if len(auto):
+                auto.make_automaton()
             known = np.sort(passages["wa"].to_numpy() ^ (passages["wb"].to_numpy() << 1))
             sure = set(zip(passages["wa"].tolist(), passages["wb"].tolist(), strict=True))
-            for doc_id, h, text in zip(docs["doc_id"], docs["_h"], docs["text"], strict=True):
-                words = (text or "").encode().split()
+            for doc_id, h, words, s in zip(docs["doc_id"], docs["_h"], texts, sketches, strict=True):
                 plain = [w.decode() for w in words]
                 line = " " + " ".join(plain) + " "
                 begin = np.cumsum([0] + [len(w) + 1 for w in plain[:-1]])
-                hits = np.unique(np.searchsorted(begin, [end - size + 1 for end, size in auto.iter(line)]))
-                s = Sketch(words, window)
+                hits = np.unique(np.searchsorted(begin, [end - size + 1 for end, size in auto.iter(line)] if len(auto) else []))
                 starts = np.flatnonzero(np.isin(s.phrase_at, hits))
                 w = s.windows(starts)
                 near = np.isin(w[:, 0] ^ (w[:, 1] << 1), known)
@@ -135,14 +138,14 @@ def _locate(window: int):
 
 def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
     """Per (doc_id, _h): ``starts``, the first words of windows that start elsewhere too."""
-    phrases = materialise(rows.mapInPandas(_phrases(window), "doc_id long, _h string, phrase long, n long"), "sub-phrases")
+    phrases = materialise(rows.mapInPandas(_phrases(window), "doc_id long, _h long, phrase long, n long"), "sub-phrases")
     recurring = phrases.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("phrase")
     mine = materialise(phrases.join(recurring, "phrase").select(F.col("doc_id").alias("_id"), F.col("_h").alias("_k"), "phrase")
                        .distinct(), "sub-recurring")
     lists = mine.groupBy("_id", "_k").agg(F.collect_list("phrase").alias("phrases"))
     asked = rows.join(lists, rows["doc_id"].eqNullSafe(lists["_id"]) & (rows["_h"] == lists["_k"]))
-    found = asked.select("text", "phrases").mapInPandas(_confirm(window), "wa long, wb long, n long, phrase long, words string")
-    sure = materialise(found.groupBy("wa", "wb", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+    found = asked.select("text", "phrases").mapInPandas(_confirm(window), "wa long, wb long, n long, phrase long")
+    sure = materialise(found.groupBy("wa", "wb", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
                        .drop("n"), "sub-confirmed")
     n = sure.select("phrase").distinct().count()
     shards = n // SHARD_PHRASES + 1
@@ -154,9 +157,9 @@ def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
               .select("shard", F.pmod(F.xxhash64("doc_id", "_h"), F.lit(parts)).alias("part"), "doc_id", "_h", "text")
               .dropDuplicates(["shard", "doc_id", "_h"]))
     passages = sure.select(shard.alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"),
-                           "wa", "wb", "words")
+                           "wa", "wb", "phrase")
     hits = (routed.groupBy("shard", "part").cogroup(passages.groupBy("shard", "part"))
-            .applyInPandas(_locate(window), "doc_id long, _h string, starts array<int>"))
+            .applyInPandas(_locate(window), "doc_id long, _h long, starts array<int>"))
     return hits.groupBy("doc_id", "_h").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
@@ -180,10 +183,10 @@ def _cut(window: int):
 def dedup_substrings(docs: DataFrame, window: int = 35) -> DataFrame:
     """``docs`` with the kept words as ``text``, ``n_words`` of the input and ``n_removed``."""
     keep = [c for c in common.replace_columns(docs, OUT) if c.lower() != "doc_id"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit(""))).alias("_h"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"), "text")
     hits = repeated_windows(rows, window).withColumnsRenamed({"doc_id": "_id", "_h": "_k"})
     every = docs.select(F.struct(*[docs[c] for c in keep], F.lit(0).alias("_")).alias("_row"), F.col("doc_id"), "text",
-                        F.md5(F.coalesce("text", F.lit(""))).alias("_h"))
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_h"))
     out = every.join(hits, every["doc_id"].eqNullSafe(hits["_id"]) & (every["_h"] == hits["_k"]), "left")
     return (out.select("doc_id", *[F.col(f"_row.`{c}`").alias(c) for c in keep], _cut(window)("text", "starts").alias("_o"))
             .select("doc_id", *keep, "_o.*"))
