@@ -27,8 +27,10 @@ from . import common
 
 BITS = 18
 SIZES = (3, 4, 5)
-MAX_FIT_ROWS = 6000
+MAX_FIT_ROWS = 4000
 SMOOTH = 1.0
+MIN_ROWS = 3         # rows that hold a feature, and its least log-count ratio
+MIN_RATIO = 0.2
 STEPS = 150
 
 
@@ -52,15 +54,18 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     if not len(y) or y.min() == y.max():
         share = y.mean() if len(y) else 0.0
         return np.zeros(size, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
+    counts = np.zeros((2, size))
+    for x, c in zip(rows, y, strict=True):
+        counts[int(c), x] += 1
+    shares = (counts + SMOOTH) / (np.array([[(y == 0).sum()], [(y == 1).sum()]]) + 2 * SMOOTH)
+    r = np.log(shares[1] / shares[0])
+    r[(counts.sum(axis=0) < MIN_ROWS) | (np.abs(r) < MIN_RATIO)] = 0
+    told = r != 0                       # features that tell the classes apart
+    rows = [x[told[x]] for x in rows]
     at = np.concatenate(rows)
-    ends = np.cumsum([len(x) for x in rows])
-    starts = ends - [len(x) for x in rows]
-    owner = np.repeat(np.arange(len(rows)), ends - starts)
-    p = [(np.bincount(at, (y == c)[owner], size) + SMOOTH) / ((y == c).sum() + 2 * SMOOTH) for c in (1, 0)]
-    r = np.log(p[0] / p[1])
-    r[np.bincount(at, minlength=size) < 3] = 0
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
     w, bias = np.zeros(size), 0.0
-    value = r[at]
+    value = r[at].astype(np.float32)
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
     m = v = np.zeros(size + 1)
     for step in range(1, STEPS + 1):       # Adam on the weighted logistic loss with a small ridge
