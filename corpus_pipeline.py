@@ -33,8 +33,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weighed = mixing.quality_weight(docs, table(spark, sf_dir, "labels"))
-    return mixing.mix(weighed, quality=F.col("_quality")).select(*docs.columns)
+    return mixing.mix(docs, quality=mixing.quality_weights(table(spark, sf_dir, "labels")))
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

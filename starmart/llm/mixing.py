@@ -8,13 +8,13 @@ in key order are a weighted sample without replacement. A source with target
 sizes comes nearest to it.
 
 Since the selection is a run of the key order, it is described by one cut per
-source. Texts are never shuffled: the cut, found on narrow rows, is joined to
-the documents through a table of one row per source.
+source. The plan is made on narrow rows (id, source, size, digest), to which quality weights
+are joined as well; texts are shuffled once, only when ``mix`` repeats the documents.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in
-order; null or non-positive quality weighs ``MIN_WEIGHT``; rows equal in id and text
-are one unit of the order and are taken together; an empty table gives an empty
-result; input columns named like an output column are replaced.
+order; documents without a quality weigh 1, a non-positive quality weighs ``MIN_WEIGHT``; rows
+equal in source, id and text are one unit of the order and are taken together; an empty table gives
+an empty result; input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -33,13 +33,18 @@ MIN_WEIGHT = 1e-3
 ROWS_PER_BUCKET = 2048
 
 
-def _keys(docs: DataFrame, quality: Column | None, seed: int) -> list[Column]:
-    w = F.lit(1.0) if quality is None else F.greatest(F.coalesce(quality.cast("double"), F.lit(0.0)), F.lit(MIN_WEIGHT))
-    digest = common.row_digest(seed, "doc_id", "text")
-    return [
-        F.col("doc_id").alias("_id"), F.col("source").alias("_src"), common.word_count(F.col("text")).alias("_size"),
-        digest.alias("_h"), (-F.log(common.unit_interval(digest)) / w).alias("_key"),
-    ]
+def _narrow(docs: DataFrame, seed: int, *extra: Column) -> DataFrame:
+    return docs.select(*extra, F.col("doc_id").alias("_id"), F.col("source").alias("_src"),
+                       common.row_digest(seed, "doc_id", "text").alias("_h"), common.word_count(F.col("text")).alias("_size"))
+
+
+def _keyed(rows: DataFrame, quality: DataFrame | None) -> DataFrame:
+    """Narrow rows with their exponential key."""
+    w = F.lit(1.0)
+    if quality is not None:
+        rows = rows.join(quality, rows["_id"] == quality["_lid"], "left")
+        w = F.greatest(F.coalesce("_q", F.lit(1.0)), F.lit(MIN_WEIGHT))
+    return rows.select("_id", "_src", "_size", "_h", (-F.log(common.unit_interval(F.col("_h"))) / w).alias("_key"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.0,
@@ -71,10 +76,13 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), share
             .drop("_w", "_cap", "_level", "_open", "_first"))
 
 
-def plan(docs: DataFrame, quality: Column | None = None, weights: Sequence[float] = (1, 2, 3), share: float = 1.0,
+def plan(docs: DataFrame, quality: DataFrame | None = None, weights: Sequence[float] = (1, 2, 3), share: float = 1.0,
          max_epochs: int = 3, seed: int = 17) -> tuple[DataFrame, DataFrame]:
-    """(keys per document, one row per source with target, epochs and cut), both written tables."""
-    keys = materialise(docs.select(*_keys(docs, quality, seed)), "mix-keys")
+    """(keys per document, one row per source with target, epochs and cut), both written tables.
+
+    ``quality`` has one weight per id, as ``quality_weights`` gives it.
+    """
+    keys = materialise(_keyed(_narrow(docs, seed), quality), "mix-keys")
     sizes = keys.groupBy("_src").agg(F.count("*").alias("n"), F.sum("_size").alias("source_size"))
     targets = (source_targets(sizes, weights, share, max_epochs)
                .withColumn("epochs", F.when(F.col("source_size") > 0, F.least(
@@ -110,18 +118,20 @@ def mix_plan(docs: DataFrame, **options) -> DataFrame:
     return _decide(keys, per).select(F.col("_id").alias("doc_id"), F.col("_src").alias("source"), *OUT)
 
 
-def mix(docs: DataFrame, quality: Column | None = None, seed: int = 17, **options) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mix: every row of ``docs`` as many times as it is taken, with the input's columns."""
-    _, per = plan(docs, quality=quality, seed=seed, **options)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), *_keys(docs, quality, seed))
-    return (_decide(rows, per).where(F.col("copies") > 0)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*"))
-
-
-def quality_weight(docs: DataFrame, labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> DataFrame:
-    """``docs`` with ``_quality``: ``good`` or ``bad`` as labelled, 1 where no label is known."""
-    known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-             .groupBy(F.col("doc_id").alias("_lid")).agg(F.max("quality").alias("_q")))
-    out = docs.join(known, docs["doc_id"] == known["_lid"], "left")
-    return out.select(*[docs[c] for c in docs.columns], F.when(F.col("_q") > 0, good).when(
-        F.col("_q").isNotNull(), bad).otherwise(1.0).alias("_quality"))
+    keys, per = plan(docs, seed=seed, **options)
+    took = (_decide(keys, per).where(F.col("copies") > 0)
+            .select(F.col("_src").alias("_msrc"), F.col("_id").alias("_mid"), F.col("_h").alias("_mh"), "copies").distinct())
+    rows = _narrow(docs, seed, F.struct(*[docs[c] for c in docs.columns]).alias("_row")).drop("_size")
+    # a shuffle join at every size: what the mix takes grows with the documents
+    out = rows.join(took.hint("merge"), rows["_h"].eqNullSafe(took["_mh"]) & rows["_id"].eqNullSafe(took["_mid"])
+                    & rows["_src"].eqNullSafe(took["_msrc"]))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_row.*")
+
+
+def quality_weights(labels: DataFrame, good: float = 2.0, bad: float = 0.5) -> DataFrame:
+    """(_lid, _q): one weight per labelled id, ``good`` if any of its labels is, else ``bad``."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
+            .groupBy(F.col("doc_id").alias("_lid"))
+            .agg(F.when(F.max("quality") > 0, good).otherwise(bad).alias("_q")))

@@ -20,9 +20,8 @@ SHARDS = 24
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to their targets (quality labels weigh the sampling keys)."""
-    docs = mixing.quality_weight(table(spark, sf_dir, "documents").select("doc_id", "text", "source"),
-                                 table(spark, sf_dir, "labels"))
-    out = mixing.mix_plan(docs, quality=F.col("_quality"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = mixing.mix_plan(docs, quality=mixing.quality_weights(table(spark, sf_dir, "labels")))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
