@@ -40,7 +40,8 @@ def repeated_lines(docs: DataFrame, width: int = 3) -> DataFrame:
     windows = _windows(docs, width)
     first = (windows.groupBy("_w").agg(F.count("*").alias("_n"), F.min(F.struct("_id", "_h", "_pos")).alias("_first"))
              .where(F.col("_n") > 1).drop("_n"))
-    later = windows.join(first, "_w").where(~F.struct("_id", "_h", "_pos").eqNullSafe(F.col("_first")))
+    # shuffle joins at every size: repeated windows grow with the documents, hot ones are split (skew join)
+    later = windows.join(first.hint("merge"), "_w").where(~F.struct("_id", "_h", "_pos").eqNullSafe(F.col("_first")))
     return later.groupBy("_id", "_h").agg(F.collect_set("_pos").alias("_starts"))
 
 
@@ -50,7 +51,7 @@ def dedup_lines(docs: DataFrame, width: int = 3) -> DataFrame:
     hits = repeated_lines(docs, width).withColumnsRenamed({"_id": "_rid", "_h": "_rh"})
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("_row"), F.col("doc_id").alias("_id"),
                        F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
-    rows = rows.join(hits, rows["_id"].eqNullSafe(hits["_rid"]) & (rows["_h"] == hits["_rh"]), "left")
+    rows = rows.join(hits.hint("merge"), rows["_id"].eqNullSafe(hits["_rid"]) & (rows["_h"] == hits["_rh"]), "left")
     rows = rows.withColumn("_l", F.split("_text", "\n", -1))
     covered = F.array_distinct(F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + (width - 1)))))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), covered)
