@@ -202,7 +202,13 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     group = F.coalesce(F.concat(F.lit("c"), F.col("component_id").cast("string")), F.concat(F.lit("f"), F.col("fp").cast("string")))
     first = (who.groupBy(group.alias("_g"))
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("_h").isNull(), "_h")).alias("_m"))
-             .select(F.col("_m.doc_id").alias("_kid"), F.col("_m._h").alias("_kh")))
-    rows = docs.withColumn("_h", F.md5("text"))
-    kept = rows.join(first, rows["doc_id"].eqNullSafe(first["_kid"]) & rows["_h"].eqNullSafe(first["_kh"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+             .select(_identity(F.col("_m.doc_id"), F.col("_m._h")).alias("_k")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+                       _identity(docs["doc_id"], F.md5(docs["text"])).alias("_k"))
+    # one shuffle of the texts: equal rows go map-side first, the join uses the same key
+    return rows.dropDuplicates(["_k"]).join(first.hint("merge"), "_k", "left_semi").select("_row.*")
+
+
+def _identity(doc_id: Column, digest: Column) -> Column:
+    """One key for rows equal in id and text, nulls told from values."""
+    return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("~")), F.coalesce(digest, F.lit("~")))
