@@ -32,6 +32,7 @@ SMOOTH = 1.0
 MIN_ROWS = 3         # rows that hold a feature, and its least log-count ratio
 MIN_RATIO = 0.2
 STEPS = 150
+CHUNK = 1 << 20      # entries of the fitting rows that a step handles at once
 
 
 def features(text: str | None) -> np.ndarray:
@@ -67,11 +68,13 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     w, bias = np.zeros(size), 0.0
     value = r[at].astype(np.float32)
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
+    chunks = [slice(a, a + CHUNK) for a in range(0, len(at), CHUNK)]
     m = v = np.zeros(size + 1)
     for step in range(1, STEPS + 1):       # Adam on the weighted logistic loss with a small ridge
-        z = np.bincount(owner, w[at] * value, len(rows)) + bias
+        z = sum((np.bincount(owner[c], w[at[c]] * value[c], len(rows)) for c in chunks), np.zeros(len(rows))) + bias
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / len(y)
-        grad = np.append(np.bincount(at, g[owner] * value, size) + 1e-4 * w, g.sum())
+        grad = sum((np.bincount(at[c], g[owner[c]] * value[c], size) for c in chunks), 1e-4 * w)
+        grad = np.append(grad, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         move = 0.03 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
