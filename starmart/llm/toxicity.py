@@ -48,32 +48,37 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
-    """(weights, bias) of the classifier; weights include the ratios."""
+def fit(at: np.ndarray, lengths: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    """(weights, bias) of the classifier; weights include the ratios.
+
+    ``at`` holds the features of all rows one after the other, ``lengths`` of them per row.
+    """
     size = 1 << BITS
     y = np.asarray(toxic, float)
     if not len(y) or y.min() == y.max():
         share = y.mean() if len(y) else 0.0
         return np.zeros(size, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     counts = np.zeros((2, size))
-    for x, c in zip(rows, y, strict=True):
-        counts[int(c), x] += 1
+    ends = np.cumsum(lengths)
+    for a, b, c in zip(ends - lengths, ends, y, strict=True):
+        counts[int(c), at[a:b]] += 1
     shares = (counts + SMOOTH) / (np.array([[(y == 0).sum()], [(y == 1).sum()]]) + 2 * SMOOTH)
     r = np.log(shares[1] / shares[0])
     r[(counts.sum(axis=0) < MIN_ROWS) | (np.abs(r) < MIN_RATIO)] = 0
     told = r != 0                       # features that tell the classes apart
-    rows = [x[told[x]] for x in rows]
-    at = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in rows])
+    kept = [at[a:b][told[at[a:b]]] for a, b in zip(ends - lengths, ends, strict=True)]
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), [len(x) for x in kept])
+    at = np.concatenate(kept)
+    del kept
     w, bias = np.zeros(size), 0.0
-    value = r[at].astype(np.float32)
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
     chunks = [slice(a, a + CHUNK) for a in range(0, len(at), CHUNK)]
     m = v = np.zeros(size + 1)
     for step in range(1, STEPS + 1):       # Adam on the weighted logistic loss with a small ridge
-        z = sum((np.bincount(owner[c], w[at[c]] * value[c], len(rows)) for c in chunks), np.zeros(len(rows))) + bias
+        scaled = w * r
+        z = sum((np.bincount(owner[c], scaled[at[c]], len(y)) for c in chunks), np.zeros(len(y))) + bias
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / len(y)
-        grad = sum((np.bincount(at[c], g[owner[c]] * value[c], size) for c in chunks), 1e-4 * w)
+        grad = 1e-4 * w + r * sum((np.bincount(at[c], g[owner[c]], size) for c in chunks), np.zeros(size))
         grad = np.append(grad, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         move = 0.03 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
@@ -92,9 +97,15 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> t
     some = known.orderBy(F.md5(F.concat(F.lit("fit"), F.col("_lid").cast("string"))), "_lid").limit(max_rows)
     as_bytes = F.pandas_udf(lambda s: s.map(lambda t: features(t).tobytes()), "binary")
     rows = (docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("_lid"))
-            .dropDuplicates(["_lid"]).select("_lid", "_toxic", as_bytes("text").alias("_f")).toPandas())
-    rows = rows.sort_values("_lid")
-    return fit([np.frombuffer(x, np.int32) for x in rows["_f"]], (rows["_toxic"] > 0).to_numpy())
+            .dropDuplicates(["_lid"]).select("_lid", "_toxic", as_bytes("text").alias("_f")).toArrow())
+    order = np.argsort(rows["_lid"].to_numpy(), kind="stable")
+    toxic = rows["_toxic"].to_numpy()[order] > 0
+    found = [np.frombuffer(x.as_buffer(), np.int32) if x.as_buffer().size else np.zeros(0, np.int32)
+             for chunk in rows["_f"].chunks for x in chunk]     # views of the collected buffers
+    lengths = np.array([len(found[i]) for i in order], np.int64)
+    at = np.concatenate([np.zeros(0, np.int32), *[found[i] for i in order]])
+    del found, rows
+    return fit(at, lengths, toxic)
 
 
 def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> DataFrame:
