@@ -15,6 +15,9 @@ share a task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,13 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` in which NULL equals NULL, so rows without a key have a history too."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _with_bucket(df: DataFrame, bucket: str, order: list, ts_col: str, name: str) -> DataFrame:
     """Add ``_b``: a time bucket, or the partition of a range partitioning on
     ``order`` (written once, so the buckets stay fixed if a task is re-run).
@@ -53,7 +63,8 @@ def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "range",
 
     Rows equal (in ``attrs``) to the previous row of their key are collapsed;
     ``active_from`` is the first timestamp of a run, ``active_to`` the start of the
-    next run or ``open_end``. Ties in ``ts`` are ordered by the attributes.
+    next run or ``open_end``. Ties in ``ts`` are ordered by the attributes (all but the
+    last get a zero-length interval); rows with a NULL key share one history.
     """
     keys, attrs = _cols(key), _cols(attrs)
     end = F.lit(open_end).cast("timestamp_ntz")
@@ -67,7 +78,7 @@ def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "range",
     # last attributes of the previous bucket of the same key
     summ = rows.groupBy(*keys, "_b").agg(F.max_by("_a", F.struct(*order)).alias("_last"))
     summ = summ.withColumn("_pb_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_b")))
-    rows = rows.join(summ.select(*keys, "_b", "_pb_last"), [*keys, "_b"], "left")
+    rows = _join(rows, summ.select(*keys, "_b", "_pb_last"), [*keys, "_b"])
     prev = F.when(F.col("_rn") == 1, F.col("_pb_last")).otherwise(F.col("_prev"))
     starts = rows.where(prev.isNull() | ~prev.eqNullSafe(F.col("_a"))).select(*keys, "_ts", "_a", "_b")
     if materialise_starts:
@@ -80,7 +91,7 @@ def scd2_build(changes: DataFrame, key, ts: str, attrs, bucket: str = "range",
     starts = starts.withColumn("_next", F.lead("_ts").over(w2))
     firsts = starts.groupBy(*keys, "_b").agg(F.min("_ts").alias("_first"))
     firsts = firsts.withColumn("_nb_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b")))
-    out = starts.join(firsts.select(*keys, "_b", "_nb_first"), [*keys, "_b"], "left")
+    out = _join(starts, firsts.select(*keys, "_b", "_nb_first"), [*keys, "_b"])
     return out.select(*keys, *[F.col("_a")[a].alias(a) for a in attrs],
                       F.col("_ts").alias(active_from),
                       F.coalesce("_next", "_nb_first", end).alias(active_to))
@@ -97,8 +108,8 @@ def scd2_apply(history: DataFrame, batch: DataFrame, key, ts: str, attrs, bucket
     """
     keys, attrs = _cols(key), _cols(attrs)
     touched = batch.select(*keys).dropDuplicates()
-    untouched = history.join(touched, keys, "left_anti")
-    old = (history.join(touched, keys, "left_semi")
+    untouched = _join(history, touched, keys, "left_anti")
+    old = (_join(history, touched, keys, "left_semi")
            .select(*keys, F.col(active_from).alias(ts), *attrs, F.lit(0).alias("_p")))
     new = batch.select(*keys, F.col(ts).cast("timestamp_ntz").alias(ts), *attrs, F.lit(1).alias("_p"))
     points = dedupe_last(old.unionByName(new), [*keys, ts], "_p").drop("_p")
@@ -110,7 +121,10 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key, ts: str, take, how: str =
                 active_from: str = "active_from", active_to: str = "active_to",
                 bucket: str = "range") -> DataFrame:
     """Join each fact row to the dimension version valid at its time
-    (``active_from <= ts < active_to``, same key).
+    (``active_from <= ts < active_to``, same key; a NULL key is a key like any other).
+
+    Zero-length versions are valid at no time and never looked up. Where versions
+    overlap, the one that starts last, then the one that ends last, is taken.
 
     Implemented as a sort-based as-of merge: facts and versions are unioned and
     ordered per (key, bucket), the latest version at or before the fact is
@@ -121,6 +135,7 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key, ts: str, take, how: str =
     keys = _cols(key)
     take = {c: c for c in _cols(take)} if not isinstance(take, dict) else take
     fcols = fact.columns
+    dim = dim.where(F.col(active_from) < F.col(active_to))
     dstruct = F.struct(*[F.col(c).alias(n) for c, n in take.items()], F.col(active_from).alias("_from"),
                        F.col(active_to).alias("_to"))
     f = fact.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(ts).cast("timestamp_ntz").alias("_t"),
@@ -130,19 +145,19 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key, ts: str, take, how: str =
     f = f.withColumn("_d", F.col("_d").cast(d.schema["_d"].dataType))
     d = d.withColumn("_f", F.col("_f").cast(f.schema["_f"].dataType))
     kk = [f"_k_{k}" for k in keys]
-    u = _with_bucket(f.unionByName(d), bucket, [*kk, "_t", F.col("_is_dim").desc()], "_t", "asof-ranged")
-    w = (Window.partitionBy(*kk, "_b").orderBy("_t", F.col("_is_dim").desc())
+    order = ["_t", F.col("_is_dim").desc(), F.col("_d")["_to"], "_d"]
+    u = _with_bucket(f.unionByName(d), bucket, [*kk, *order], "_t", "asof-ranged")
+    w = (Window.partitionBy(*kk, "_b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn("_cand", F.last("_d", ignorenulls=True).over(w))
 
     # latest version of every earlier bucket, for facts with no version in their own bucket yet
-    dl = u.where(F.col("_is_dim") == 1).groupBy(*kk, "_b").agg(F.max_by("_d", F.struct("_t", "_d")).alias("_bd"))
-    fb = u.where(F.col("_is_dim") == 0).select(*kk, "_b").dropDuplicates()
-    summ = fb.join(dl, [*kk, "_b"], "full_outer")
+    newest = F.when(F.col("_is_dim") == 1, F.struct("_t", F.col("_d")["_to"], "_d"))
+    summ = u.groupBy(*kk, "_b").agg(F.max_by("_d", newest).alias("_bd"))
     ws = Window.partitionBy(*kk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.withColumn("_pd", F.last("_bd", ignorenulls=True).over(ws)).select(*kk, "_b", "_pd")
 
-    facts = u.where(F.col("_is_dim") == 0).join(summ, [*kk, "_b"], "left")
+    facts = _join(u.where(F.col("_is_dim") == 0), summ, [*kk, "_b"])
     ver = F.coalesce("_cand", "_pd")
     valid = ver.isNotNull() & (F.col("_t") < ver["_to"])
     facts = facts.withColumn("_v", F.when(valid, ver))

@@ -135,7 +135,7 @@ def _upsert_broadcast(target: DataFrame, b: DataFrame, keys, cols, update_cols)
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json: str | None = None,
-                  small_batch=False, target_canonical: bool = False) -> DataFrame:
+                  small_batch=False, target_canonical: bool = False, bad: str = "error") -> DataFrame:
     """Next snapshot after ``INSERT batch ON CONFLICT DO NOTHING``.
 
     ``keys``: the unique columns (default: all columns). ``canonical_json``: name
@@ -144,18 +144,35 @@ def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json
     With ``small_batch`` the target is probed with the broadcast batch keys
     instead of being shuffled. ``target_canonical``: the target was written by
     this function (its documents are canonical already), so only the batch is
-    parsed; otherwise every target document is canonicalised too.
+    parsed; otherwise every target document is canonicalised too (one that is no
+    JSON stays as it is).
+
+    ``bad`` says what becomes of batch documents that are no JSON: ``"error"`` fails the
+    load, as the source's cast does; ``"keep_out"`` leaves them out of the table, and
+    :func:`bad_documents` returns them for a quarantine. Of batch rows with equal
+    keys the smallest stays.
     """
+    if bad not in ("error", "keep_out"):
+        raise ValueError("bad must be 'error' or 'keep_out'")
     cols = target.columns
     b = batch.select(*cols)
     t = target
     if canonical_json:
-        b = b.withColumn(canonical_json, canonical(canonical_json))
+        if bad == "keep_out":
+            b = b.where(~_no_json(canonical_json))
+        broken = F.when(F.col(canonical_json).isNotNull(), F.raise_error(F.concat(
+            F.lit("document is no JSON: "), F.left(F.col(canonical_json), F.lit(200)))).cast("string"))
+        b = b.withColumn(canonical_json, F.coalesce(canonical(canonical_json), broken))
         if not target_canonical:
-            t = t.withColumn(canonical_json, canonical(canonical_json))
+            t = t.withColumn(canonical_json, F.coalesce(canonical(canonical_json), F.col(canonical_json)))
         keys = [canonical_json]
     keys = cols if keys is None else _cols(keys)
-    b = b.dropDuplicates(keys)
+    rest = [c for c in cols if c not in keys]
+    if rest:
+        b = b.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r"))
+        b = b.select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in cols])
+    else:
+        b = b.dropDuplicates(keys)
     if _small(b, small_batch):
         present = t.join(F.broadcast(b.select(*keys)), keys, "left_semi").select(*keys)
         new = b.join(F.broadcast(present), keys, "left_anti")
@@ -164,6 +181,15 @@ def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json
     return t.unionByName(new)
 
 
+def _no_json(col: str) -> Column:
+    return F.col(col).isNotNull() & canonical(col).isNull()
+
+
+def bad_documents(batch: DataFrame, col: str) -> DataFrame:
+    """The rows of ``batch`` whose document ``col`` is no JSON, with a ``reason``."""
+    return batch.where(_no_json(col)).withColumn("reason", F.lit("malformed json"))
+
+
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Plain ``INSERT``: duplicates of earlier loads are kept (T7 parity mode)."""
     return target.unionByName(batch.select(*target.columns))
@@ -183,7 +209,7 @@ def save_cursor(cursors: DataFrame, name, value_df: DataFrame) -> DataFrame:
     batch) leaves the stored cursor as it was."""
     keys = _cols(name)
     value_cols = [c for c in cursors.columns if c not in keys]
-    v = value_df.where(F.coalesce(*[F.col(c).isNotNull() for c in value_cols]))
+    v = value_df.dropna(how="any", subset=value_cols)
     return upsert(cursors, v, keys, dedupe="none")
 
 

@@ -887,12 +887,10 @@ def q_stream_insert_absent(spark, sf):
         F.date_format("o_orderdate", DOC_DATETIME).alias("order_ts"),
         F.col("c_nationkey").cast("string").alias("courier_id"),
         (F.lit(1) + F.col("o_orderkey") % 5).cast("int").alias("rate"),
-        (F.col("o_orderkey") % 200).cast("decimal(14,2)").alias("tip_sum"),
-        F.col("o_orderdate").cast("timestamp").alias("_event_time"))
-    docs = items.select(J.to_document("order_id", "order_ts", "courier_id", "rate", "tip_sum").alias("deliveri_info"),
-                        "_event_time")
+        (F.col("o_orderkey") % 200).cast("decimal(14,2)").alias("tip_sum"))
+    docs = items.select(J.to_document("order_id", "order_ts", "courier_id", "rate", "tip_sum").alias("deliveri_info"))
     sink = TableSink(spark, tables, "deliveries", "deliveri_info string")
-    stream_insert_absent(docs, sink, "deliveri_info", "_event_time", "7 days", ckpt)
+    stream_insert_absent(docs, sink, "deliveri_info", ckpt)
     d = F.from_json("deliveri_info", DOC_DELIVERY)
     return sink.current().select(d["order_id"].alias("order_id"), casts.to_ts(d["order_ts"]).alias("order_ts"),
                                  d["courier_id"].alias("courier_id"), d["rate"].alias("rate"),

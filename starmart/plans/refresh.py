@@ -100,7 +100,9 @@ class Warehouse:
             log = self.spark.read.schema(self.LOG_SCHEMA).json(self._log())
             rows = (log.where(F.col("table") == qname).orderBy(F.col("written_at").desc(), F.col("version").desc())
                     .limit(1).collect())
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         return rows[0]["version"] if rows else None
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # compared and formatted in UTC, and casts raise like the source database does.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",     # of a repeated key in a JSON object the last stays
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

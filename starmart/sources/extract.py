@@ -56,15 +56,16 @@ def extract_incremental(df: DataFrame, id_col: str, cursor, inclusive: bool = Fa
 
 
 def extract_full(df: DataFrame, schema: StructType | str | None = None, mapping: dict | None = None) -> DataFrame:
-    """Full snapshot extract with explicit column mapping and a schema check."""
+    """Full snapshot extract with explicit column mapping and a schema check: a missing
+    or unexpected column and a changed type are errors."""
     if mapping:
         df = df.select(*[F.col(src).alias(dst) for dst, src in mapping.items()])
     if schema is not None:
         st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
-        diff = expect_columns(df, st)
+        diff = expect_columns(df, st)       # of the source itself, before any cast
         if diff:
             raise ValueError(f"source columns differ: {diff}")
+        df = df.select(*st.fieldNames())
     return df
 
 

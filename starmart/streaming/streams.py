@@ -68,18 +68,15 @@ def stream_upsert(stream: DataFrame, sink: TableSink, keys, order_by, checkpoint
     _run(stream.writeStream.foreachBatch(each).outputMode("append"), checkpoint)
 
 
-def stream_insert_absent(stream: DataFrame, sink: TableSink, doc_col: str, ts_col: str, delay: str,
-                         checkpoint: str) -> None:
-    """Insert-if-absent of JSON documents: duplicates arriving within ``delay`` of
-    each other are dropped in the stream's state; older ones by the table check."""
-    dedup = stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([doc_col])
-
+def stream_insert_absent(stream: DataFrame, sink: TableSink, doc_col: str, checkpoint: str) -> None:
+    """Insert-if-absent of JSON documents, however late they come: copies inside a
+    micro-batch meet in its deduplication, older ones in the table. No state is kept."""
     def each(batch: DataFrame, epoch: int) -> None:
         cur = sink.current()
         # the sink is only written here, so its documents are canonical already
         sink.replace(insert_absent(cur, batch.select(*cur.columns), canonical_json=doc_col, target_canonical=True,
                                    small_batch=BROADCAST_MAX_ROWS))
-    _run(dedup.writeStream.foreachBatch(each).outputMode("append"), checkpoint)
+    _run(stream.writeStream.foreachBatch(each).outputMode("append"), checkpoint)
 
 
 def stream_daily_totals(stream: DataFrame, sink: TableSink, ts_col: str, group: list[str], sums: dict,

@@ -282,3 +282,45 @@ def test_scd2_hot_key_is_split_and_exact(spark):
             end = starts[i + 1][0] if i + 1 < len(starts) else dt.datetime(2099, 12, 31)
             expect.append((key, a, t, end))
     assert got == sorted(expect)
+
+
+# ---- no silent loss, null keys, ties --------------------------------------------------------------
+def test_insert_absent_keeps_stored_rows_and_reports_bad_documents(spark):
+    target = spark.createDataFrame([('{"a":1}',), ("stored, no json",)], "doc string")
+    batch = spark.createDataFrame([("{broken",), ('{"a": 2, "a": 1}',), ('{"b":2}',)], "doc string")
+    out = U.insert_absent(target, batch, canonical_json="doc", bad="keep_out")
+    assert sorted(r["doc"] for r in out.collect()) == sorted(['{"a":1}', "stored, no json", '{"b":2}'])
+    assert [r["doc"] for r in U.bad_documents(batch, "doc").collect()] == ["{broken"]
+    with pytest.raises(Exception, match="document is no JSON"):
+        U.insert_absent(target, batch, canonical_json="doc").collect()
+
+
+def test_save_cursor_keeps_the_stored_value_on_null(spark):
+    cur = spark.createDataFrame([(1, 5, "x")], "id int, last long, note string")
+    got = U.save_cursor(cur, "id", spark.createDataFrame([(1, 9, None)], cur.schema)).collect()
+    assert [tuple(r) for r in got] == [(1, 5, "x")]
+
+
+def test_extract_full_reports_source_changes(spark):
+    from starmart.sources.extract import extract_full
+    for ddl in ("id int, name string", "id long, name string, more string", "id long"):
+        with pytest.raises(ValueError, match="source columns differ"):
+            extract_full(spark.createDataFrame([], ddl), "id long, name string")
+
+
+def test_history_null_keys_and_ties_do_not_depend_on_buckets(spark):
+    rows_in = [(k, f"2024-01-0{1 + i % 3} 00:00:00", v) for k in (None, 1) for i, v in enumerate("abcbca")]
+    ch = spark.createDataFrame(rows_in, "k int, ts string, a string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    facts = spark.createDataFrame([(None, 1), (1, 2)], "k int, n int").withColumn(
+        "at", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz"))
+    seen = set()
+    for bucket in ("range", "day", "month"):
+        h = scd2.scd2_build(ch, "k", "ts", ["a"], bucket=bucket)
+        both = [sorted(map(str, h.where(w).drop("k").collect())) for w in (F.col("k").isNull(), F.col("k") == 1)]
+        assert both[0] == both[1]
+        again = scd2.scd2_apply(h, ch.where(F.col("a") == "c"), "k", "ts", ["a"], bucket=bucket)
+        assert again.where(F.col("k").isNull()).count() == again.where(F.col("k") == 1).count()
+        got = {(r["n"], r["a"]) for r in scd2.asof_lookup(facts, h, "k", "at", ["a"], bucket=bucket).collect()}
+        assert got == {(1, "c"), (2, "c")}
+        seen.add(str(both))
+    assert len(seen) == 1
