@@ -1,18 +1,19 @@
 """PII by fixed patterns and bootstrapped contextual extraction.
 
 Base spans (email, ip, card, phone) are the seeds. The two words before an instance are its
-lexical pattern. Unseen identifiers, i.e. tokens with a digit that no base span touches, are
-instances without a kind. Spark scores the graph of patterns and instances round by round: a
-pattern's confidence for a kind is the mean confidence of its distinct instances, an
-instance takes the best confidence among its patterns with enough support. After
-``ROUNDS`` rounds, identifiers of confidence ``CONFIDENT`` become spans of that kind.
+lexical pattern. Unseen identifiers that no base span touches are instances without a kind: tokens with
+a digit, digit groups joined by blanks, dots, hyphens or brackets (one instance), and address forms
+with @, (at) or "at ... dot", digits or not. Spark scores the graph of patterns and instances round by
+round: a pattern's confidence for a kind is the mean confidence of its distinct instances that could
+be of that kind (``SHAPES``), an instance takes the best confidence among its patterns with enough
+support. After ``ROUNDS`` rounds, identifiers of confidence ``CONFIDENT`` become spans of that kind.
 
 One Python pass reads the texts; everything after it is joins and partial aggregates over narrow rows,
 so the graph is never gathered and hot patterns are pre-aggregated.
 
 Defined cases: null text is empty; rows equal in id and text share their spans; base spans of different
-kinds may overlap; an instance without a word before it has no pattern; an empty table gives
-an empty result.
+kinds may overlap; an instance without a word before it has no pattern, but becomes a span if the same
+identifier is known from elsewhere; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +37,18 @@ PATTERNS = {
 }
 KINDS = list(PATTERNS)
 TOKEN = re.compile(r"[A-Za-z0-9@._+()-]*[0-9][A-Za-z0-9@._+()-]*")
-MIN_TOKEN = 5
+NUMBER = re.compile(r"[+(]{0,2}[0-9][0-9().-]*")       # a token that can be a group of a longer number
+JOIN = re.compile(r"\x20{1,2}|\x20[.-]\x20|[.-]?\(|\)\x20?")
+GROUPED = range(7, 20)                                  # digits of a number written in groups
+WHOLE = 9                                               # digits from which a group is a number of its own
+_NAME, _HOST = r"[\w%+-]++(?:\.[\w%+-]++)*+", r"[\w-]++"
+_BDOT = r"\x20?[(\[{<]\x20?dot\x20?[)\]}>]\x20?"
+ADDRESS = re.compile(
+    rf"(?<![\w.%+-]){_NAME}(?:{_BDOT}{_NAME})*(?:(?:@|\x20@\x20|\x20?[(\[{{<]\x20?at\x20?[)\]}}>]\x20?)"
+    rf"{_HOST}(?:(?:\.|{_BDOT}|\x20dot\x20){_HOST})*|\x20at\x20{_HOST}(?:(?:\.|{_BDOT}|\x20dot\x20){_HOST})+)", re.IGNORECASE)
+ANCHOR = re.compile(r"@|[(\[{<]\x20?at\x20?[)\]}>]|\x20at\x20[\w-]++(?:\.|\x20?[(\[{<]?\x20?dot)", re.IGNORECASE)
+# what an identifier holds at least to be of a kind
+SHAPES = {"email": r"[\p{L}@]", "ip": "([0-9][^0-9]*){4}", "card": "([0-9][^0-9]*){4}", "phone": "([0-9][^0-9]*){3}"}
 CONTEXT = 80          # characters looked at for the words before an instance
 ROUNDS = 3
 SUPPORT = 3.0
@@ -72,21 +84,73 @@ def spans_text(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
+def _apart(pattern: re.Pattern, text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Matches that touch none of the taken spans."""
+    low = 0
+    for a, b in [*sorted(taken), (len(text), len(text))]:
+        if a > low:
+            for m in pattern.finditer(text, low, a):
+                if (m.start() > low or low == 0) and (m.end() < a or a == len(text)):
+                    yield m.span()
+        low = max(low, b)
+
+
+def _digits(text: str) -> int:
+    return len(re.sub(r"[^0-9]", "", text))
+
+
+def _cut(widths: list[int]) -> list[int]:
+    """Groups of each number in a row of groups: repeats of one form, else as many groups as a number takes."""
+    n, most = len(widths), GROUPED[-1]
+    if sum(widths) > most:
+        for p in range(2, n // 2 + 1):
+            if n % p == 0 and widths == widths[:p] * (n // p) and WHOLE <= sum(widths[:p]) <= most:
+                return [p] * (n // p)
+    out, total = [], most
+    for w in widths:
+        if total + w > most:
+            out.append(0)
+            total = 0
+        out[-1] += 1
+        total += w
+    return out
+
+
+def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of the identifiers outside the ``taken`` ones."""
+    out = list(_apart(ADDRESS, text, taken)) if ANCHOR.search(text) else []
+    row: list[tuple[int, int, int]] = []             # neighbouring groups: start, end, digits
+
+    def close() -> None:
+        at = 0
+        for n in _cut([d for _, _, d in row]):
+            part = row[at:at + n]
+            at += n
+            whole = sum(d for _, _, d in part) in GROUPED
+            out.extend([(part[0][0], part[-1][1])] if whole else [(a, b) for a, b, _ in part])
+        row.clear()
+
+    for a, b in _apart(TOKEN, text, [*taken, *out]):
+        while text[b - 1] in ".-(" or text[b - 1] == ")" and "(" not in text[a:b]:
+            b -= 1
+        if not NUMBER.fullmatch(text, a, b):
+            close()
+            out.append((a, b))
+            continue
+        d = _digits(text[a:b])
+        if row and (d >= WHOLE or row[-1][2] >= WHOLE or text[a] == "+" or not JOIN.fullmatch(text, row[-1][1], a)):
+            close()
+        row.append((a, b, d))
+    close()
+    return sorted(out)
+
+
 def _instances(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
-    taken = sorted((a, b) for _, a, b in base)
-    out = [(k, a, b) for k, a, b in base]
-    at = 0
-    for m in TOKEN.finditer(text):
-        a, b = m.start(), m.end()
-        while at < len(taken) and taken[at][1] <= a:
-            at += 1
-        if b - a >= MIN_TOKEN and not any(x < b and a < y for x, y in taken[at:at + 4]):
-            out.append((None, a, b))
     rows = []
-    for k, a, b in out:
+    for k, a, b in [*base, *((None, *s) for s in candidates(text, [(a, b) for _, a, b in base]))]:
         words = text[max(0, a - CONTEXT):a].split()[-2:]
-        if words:
-            pattern = re.sub(r"[0-9]", "0", " ".join(words).lower())
+        pattern = re.sub(r"[0-9]", "0", " ".join(words).lower()) if words else None
+        if words or not k:
             rows.append({"kind": k, "start": a, "end": b, "token": text[a:b], "pattern": pattern})
     return rows
 
@@ -103,15 +167,19 @@ def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def score_graph(seen: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT) -> DataFrame:
     """(token, kind, conf): confidence of identifiers without a base kind; ``seen`` has kind, token, pattern."""
-    edges = materialise(seen.groupBy("pattern", "token").agg(F.max("kind").alias("seed")), "pii-edges")
-    size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+    edges = materialise(seen.where(F.col("pattern").isNotNull()).groupBy("pattern", "token")
+                        .agg(F.max("kind").alias("seed")), "pii-edges")
+    could = {k: F.col("seed").isNotNull() | F.col("token").rlike(s) for k, s in SHAPES.items()}
+    size = edges.groupBy("pattern").agg(*[F.count_if(c).alias(f"n_{k}") for k, c in could.items()])
+    n = F.coalesce(*[F.when(F.col("kind") == k, F.col(f"n_{k}")) for k in KINDS])
     seeds = edges.where(F.col("seed").isNotNull()).select("token", F.col("seed").alias("kind"), F.lit(1.0).alias("conf")).distinct()
     conf = seeds
     for k in range(rounds):
         weight = edges.join(conf, "token").groupBy("pattern", "kind").agg(F.sum("conf").alias("s"))
         good = (weight.join(size, "pattern").where(F.col("s") >= support)
-                .select("pattern", "kind", (F.col("s") / F.col("n")).alias("conf")))
-        new = (edges.where(F.col("seed").isNull()).select("pattern", "token").join(good, "pattern")
+                .select("pattern", "kind", (F.col("s") / n).alias("conf")))
+        fits = F.coalesce(*[F.when(F.col("kind") == k, F.col("token").rlike(s)) for k, s in SHAPES.items()])
+        new = (edges.where(F.col("seed").isNull()).select("pattern", "token").join(good, "pattern").where(fits)
                .groupBy("token", "kind").agg(F.max("conf").alias("conf")))
         new = materialise(new, f"pii-round{k}")
         conf = seeds.unionByName(new.join(seeds.select("token").distinct(), "token", "left_anti"))

@@ -193,6 +193,26 @@ def test_pii_base_and_learnt(spark, docs):
     assert found[99] == "phone:19:31"
 
 
+def test_pii_learns_grouped_numbers_and_addresses(spark):
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004", "340000000000009", "6011000000000004"]
+    rows = [(i, f"please call number +1 (743) 555-38{i:02d} today") for i in range(10, 30)]
+    rows += [(30 + i, f"write me at ann.lee{i}@example.org please") for i in range(10)]
+    rows += [(40 + i, f"paid with card {c} now") for i, c in enumerate(cards)]
+    asked = {
+        90: ("please call number 555 123 4567 today", ["555 123 4567"]), 91: ("please call number (974) 555-3436.", ["(974) 555-3436"]),
+        92: ("paid with card 4111 1111 1111 1112 now", ["4111 1111 1111 1112"]),
+        93: ("write me at john(at)example.org please", ["john(at)example.org"]), 94: ("555 123 4567 rang", ["555 123 4567"]),
+        95: ("john(at)example.org", ["john(at)example.org"]), 96: ("please call number 5 times", []),
+        97: ("please call number 743-555-3899 2 times", ["743-555-3899"]), 98: ("please call number 743-555-3898", ["743-555-3898"])}
+    rows += [(i, t) for i, (t, _) in asked.items()]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: [t[s["start"]:s["end"]] for s in found[i]] for i, (t, _) in asked.items()} == {i: w for i, (_, w) in asked.items()}
+    twice = "4111 1111 1111 1112 4111 1111 1111 1112"
+    assert pii.candidates(twice, []) == [(0, 19), (20, 39)]
+    assert pii.candidates("10.0.0.1 555 123 4567", [(0, 8)]) == [(9, 21)]
+    assert pii.candidates("a 743-AB-5521, jo [at] ex [dot] org or jo at ex dot org", []) == [(2, 13), (15, 35), (39, 55)]
+
+
 def test_ann_recall_and_invalid_vectors(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(600, 8)).astype("float32")
