@@ -239,6 +239,20 @@ def test_lines_brute_force(spark, docs):
     assert out[3]["text"] is None and out[4]["n_lines"] == 1 and out[6]["n_removed"] == 0
 
 
+def test_lines_of_copies_are_later_occurrences(spark):
+    rows = ([(1, "a\nb\nc\nd", "s0")] * 3 + [(1, "a\nb\nc\nd", "s1"), (2, "x\na\nb\nc", "s0"), (3, "p\nq", "s0"), (3, "p\nq", "s0")]
+            + [(None, "k\nl\nm", "s0")] * 2 + [(None, "k\nl\nm", None), (4, "k\nl\nm\nn", "s0"), (None, None, "s0"), (None, None, "s0")])
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = [(1, "a\nb\nc\nd", 4, 0)] + [(1, "", 4, 4)] * 3 + [(2, "x", 4, 3)] + [(3, "p\nq", 2, 0)] * 2
+    want += [(None, "k\nl\nm", 3, 0)] + [(None, "", 3, 3)] * 2 + [(4, "n", 4, 3)] + [(None, None, 0, 0)] * 2
+    for d in (df, df.repartition(5)):
+        out = lines.dedup_lines(d)
+        got = out.select("doc_id", "text", "n_lines", "n_removed").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+        assert (sorted(map(str, out.select("doc_id", "source").collect()))
+                == sorted(map(str, df.select("doc_id", "source").collect())))
+
+
 def test_empty_tables(spark, empty, tmp_path):
     labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     assert mixing.mix_plan(empty).count() == 0
