@@ -6,7 +6,8 @@ query walks the tree best bin first: a priority queue holds unexplored branches
 their upper bound ``q . centre + |q| * radius``, and leaves come out in order of promise.
 How many leaves are visited is calibrated: for up to ``CALIBRATE`` query rows the exact neighbours
 among all rows are found by brute force, block by block, and visits widen leaf by
-leaf until the mean recall reaches the target.
+leaf until the mean recall reaches the target. A query whose leaves hold fewer than k rows besides those
+of its own id goes on until they do.
 
 Leaves are searched as blocks of (queries x rows). A leaf with many rows or queries is
 dealt over several blocks, so a vector that a third of all rows share stays bounded; every block
@@ -91,14 +92,15 @@ class Tree:
             work += [(k, rows[near == n]) for n, k in enumerate(below) if (near == n).any()]
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves of a best-bin-first walk."""
+    def visit(self, q: np.ndarray, most: int, rows: np.ndarray | None = None, need: int = 0) -> list[int]:
+        """The first ``most`` leaves of a best-bin-first walk, more until their ``rows`` reach ``need``."""
         length = float(np.linalg.norm(q))
-        heap, out = [(0.0, 0)], []
-        while heap and len(out) < most:
+        heap, out, held = [(0.0, 0)], [], 0
+        while heap and (len(out) < most or held < need):
             _, node = heapq.heappop(heap)
             if self.leaf[node] >= 0:
                 out.append(self.leaf[node])
+                held += 0 if rows is None else int(rows[self.leaf[node]])
             for k in self.children[node]:
                 heapq.heappush(heap, (-(float(q @ self.centre[k]) + 0.5 * length * self.radius[k]), k))
         return out
@@ -153,14 +155,18 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
     probe = queries.orderBy(F.md5(F.concat(F.lit("probe"), F.col("query_id").cast("string"))), "query_id").limit(CALIBRATE).toPandas()
     most = calibrate(placed, probe, tree, k, target)
 
+    held = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}       # a row per leaf
+    counts = spark.sparkContext.broadcast(np.array([held.get(leaf, 0) for leaf in range(tree.leaves)]))
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for i, v in zip(b["query_id"], b["v"], strict=True):
-                leaves = shared.value.visit(np.asarray(v), most)
+            for i, v, own in zip(b["query_id"], b["v"], b["own"], strict=True):
+                leaves = shared.value.visit(np.asarray(v), most, counts.value, k + own)
                 yield pd.DataFrame({"query_id": i, "leaf": np.array(leaves, np.int32)})
 
-    visits = queries.repartition("query_id").mapInPandas(walk, "query_id long, leaf int")
-    n = {r["leaf"]: -(-r["count"] // BLOCK) for r in placed.groupBy("leaf").count().collect()}       # a row per leaf
+    own = queries.groupBy("query_id").agg(F.count("*").alias("own"))
+    visits = queries.join(own.hint("merge"), "query_id").mapInPandas(walk, "query_id long, leaf int")
+    n = {leaf: -(-count // BLOCK) for leaf, count in held.items()}
     visits = materialise(visits, "ann-visits")
     m = {r["leaf"]: -(-r["count"] // BLOCK) for r in visits.groupBy("leaf").count().collect()}
     parts = spark.createDataFrame([(leaf, n.get(leaf, 0), m.get(leaf, 0)) for leaf in range(tree.leaves)],

@@ -233,6 +233,13 @@ def test_ann_recall_and_invalid_vectors(spark):
     assert hit >= 0.9 * 20 * len(by)
 
 
+def test_ann_gives_k_though_leaves_are_small(spark):
+    x = np.random.default_rng(6).normal(size=(600, 8)).astype("float32")
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=50, k=300, target=0.001)
+    assert {r["query_id"]: r["count"] for r in got.groupBy("query_id").count().collect()} == dict.fromkeys(range(0, 600, 50), 300)
+
+
 def test_lines_brute_force(spark, docs):
     out = {r["doc_id"]: r for r in lines.dedup_lines(docs).collect()}
     assert out[1]["text"] == ROWS[0][1] and out[2]["text"] == "x\ny" and out[9]["text"] == ""
