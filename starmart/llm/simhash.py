@@ -180,7 +180,7 @@ def links(prints: DataFrame, max_bits: int = 4, cell: int = CELL) -> DataFrame:
 
 
 def components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, extra: tuple[Column, ...] = ()) -> DataFrame:
-    """Per row of ``docs``: doc_id, ``extra``, fingerprint (hex), component_id."""
+    """Per row of ``docs``: doc_id, ``extra``, fingerprint (hex), component_id, fp and the root fingerprint of its component."""
     prints = materialise(docs.select("doc_id", *extra, fingerprint_column(F.col("text"), shingle).alias("_fp")),
                          "simhash-prints")
     distinct = prints.groupBy(F.col("_fp").alias("fp")).agg(F.min("doc_id").alias("least"))
@@ -189,18 +189,17 @@ def components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, extra: tupl
     member = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     ids = member.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component_id"))
-    member = member.join(ids, member["root"] == ids["_root"]).select(F.col("fp").alias("_mfp"), "component_id")
+    member = member.join(ids, member["root"] == ids["_root"]).select(F.col("fp").alias("_mfp"), "component_id", "root")
     out = prints.join(member, prints["_fp"] == member["_mfp"])
     named = [c for c in prints.columns if c not in ("_fp",)]
     return out.select(*[prints[c] for c in named], F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"),
-                      "component_id", F.col("_fp").alias("fp"))
+                      "component_id", F.col("_fp").alias("fp"), "root")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (null last), then the smallest text hash."""
     who = components(docs, shingle, max_bits, (F.md5("text").alias("_h"),))
-    group = F.coalesce(F.concat(F.lit("c"), F.col("component_id").cast("string")), F.concat(F.lit("f"), F.col("fp").cast("string")))
-    first = (who.groupBy(group.alias("_g"))
+    first = (who.groupBy("root")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col("_h").isNull(), "_h")).alias("_m"))
              .select(_identity(F.col("_m.doc_id"), F.col("_m._h")).alias("_k")))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),

@@ -77,6 +77,15 @@ def test_simhash_components(spark, docs):
     assert kept.count() == len(set(group)) and kept.columns == docs.columns
 
 
+def test_simhash_keeps_one_of_near_copies_without_ids(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[:n]) for n in (400, 399, 398)]
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert len(set(prints)) > 1 and all((a ^ b).bit_count() <= 4 for a, b in itertools.combinations(prints, 2))
+    d = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert simhash.keep_one(d).count() == 1
+
+
 def test_simhash_sets_cover_and_tiles_lose_no_link(spark):
     for bits in range(8):
         sets = simhash.position_sets(bits)
