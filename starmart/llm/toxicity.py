@@ -2,11 +2,12 @@
 
 A text is the set of its byte n-grams (ASCII lower case), hashed to ``2 ** BITS`` features.
 Feature f has the log-count ratio ``r[f] = ln((p1 + a) / (p0 + a))`` of its
-document shares in the two classes; logistic regression is fitted on ``x * r``. The model
-is one vector of ``2 ** BITS`` weights, so what is broadcast has a fixed size.
+document shares in the two classes, counted over all labelled rows; logistic regression is fitted on
+``x * r``. The model is one vector of ``2 ** BITS`` weights, so what is broadcast has a fixed size.
 
-It is fitted on at most ``MAX_FIT_ROWS`` labelled rows (the smallest seeded digests of their
-ids), whole texts each; every document is scored whole.
+The regression is fitted on at most ``MAX_FIT_ROWS`` labelled rows (the smallest seeded digests of
+their ids), whole texts each, by one task, so the driver holds vectors of ``2 ** BITS`` only; every
+document is scored whole.
 
 Defined cases: null and empty texts score the model's bias; rows without or with a null label are not
 learnt from; several labels of one id count as toxic if any is; without
@@ -23,14 +24,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import materialise
+
 from . import common
 
 BITS = 18
 SIZES = (3, 4, 5)
-MAX_FIT_ROWS = 4000
+MAX_FIT_ROWS = 6000
 SMOOTH = 1.0
-MIN_ROWS = 3         # rows that hold a feature, and its least log-count ratio
-MIN_RATIO = 0.2
+MIN_ROWS = 3         # labelled rows that hold a feature
 STEPS = 150
 CHUNK = 1 << 20      # entries of the fitting rows that a step handles at once
 
@@ -48,28 +50,22 @@ def features(text: str | None) -> np.ndarray:
     return np.flatnonzero(seen).astype(np.int32)
 
 
-def fit(at: np.ndarray, lengths: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+def fit(at: np.ndarray, lengths: np.ndarray, toxic: np.ndarray, counts: np.ndarray, totals: np.ndarray,
+        ) -> tuple[np.ndarray, float]:
     """(weights, bias) of the classifier; weights include the ratios.
 
-    ``at`` holds the features of all rows one after the other, ``lengths`` of them per row.
+    ``at`` holds the features of all rows one after the other, ``lengths`` of them per row; ``counts`` are the
+    labelled rows of each class (not toxic, toxic) that hold a feature, ``totals`` all of a class.
     """
     size = 1 << BITS
     y = np.asarray(toxic, float)
     if not len(y) or y.min() == y.max():
         share = y.mean() if len(y) else 0.0
         return np.zeros(size, np.float32), float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    counts = np.zeros((2, size))
-    ends = np.cumsum(lengths)
-    for a, b, c in zip(ends - lengths, ends, y, strict=True):
-        counts[int(c), at[a:b]] += 1
-    shares = (counts + SMOOTH) / (np.array([[(y == 0).sum()], [(y == 1).sum()]]) + 2 * SMOOTH)
+    shares = (counts + SMOOTH) / (totals[:, None] + 2 * SMOOTH)
     r = np.log(shares[1] / shares[0])
-    r[(counts.sum(axis=0) < MIN_ROWS) | (np.abs(r) < MIN_RATIO)] = 0
-    told = r != 0                       # features that tell the classes apart
-    kept = [at[a:b][told[at[a:b]]] for a, b in zip(ends - lengths, ends, strict=True)]
-    owner = np.repeat(np.arange(len(y), dtype=np.int32), [len(x) for x in kept])
-    at = np.concatenate(kept)
-    del kept
+    r[counts.sum(axis=0) < MIN_ROWS] = 0
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), lengths)
     w, bias = np.zeros(size), 0.0
     weight = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
     chunks = [slice(a, a + CHUNK) for a in range(0, len(at), CHUNK)]
@@ -90,22 +86,52 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(f, c0, c1): the rows of each class that hold a feature; feature -1 stands for all rows."""
+    counts = np.zeros((2, 1 << BITS), np.int64)
+    totals = np.zeros(2, np.int64)
+    for b in batches:
+        for t, c in zip(b["text"], b["_toxic"], strict=True):
+            counts[int(c > 0), features(t)] += 1
+            totals[int(c > 0)] += 1
+    if totals.any():
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pd.DataFrame({"f": np.append(at, -1), "c0": np.append(counts[0, at], totals[0]), "c1": np.append(counts[1, at], totals[1])})
+
+
+def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts per class and feature, and per class, over all labelled ``rows`` (text, _toxic)."""
+    sums = (rows.select("text", "_toxic").mapInPandas(_tally, "f int, c0 long, c1 long")
+            .groupBy("f").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toPandas())
+    counts = np.zeros((2, (1 << BITS) + 1))
+    counts[:, sums["f"].to_numpy(np.int64)] = sums[["c0", "c1"]].to_numpy().T      # -1 is the last
+    return counts[:, :-1], counts[:, -1]
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> tuple[np.ndarray, float]:
-    """Fits on a bounded sample of labelled rows that are not held out."""
+    """Ratios from all labelled rows that are not held out, fitted on a bounded sample of them."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").alias("_lid")).agg(F.max("toxic").alias("_toxic")))
     some = known.orderBy(F.md5(F.concat(F.lit("fit"), F.col("_lid").cast("string"))), "_lid").limit(max_rows)
-    as_bytes = F.pandas_udf(lambda s: s.map(lambda t: features(t).tobytes()), "binary")
+    counts, totals = class_counts(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_lid")))
+    shared = docs.sparkSession.sparkContext.broadcast((counts, totals))
+
+    def fit_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = sorted(((i, c > 0, features(t)) for b in batches for i, c, t in zip(b["_lid"], b["_toxic"], b["text"], strict=True)),
+                       key=lambda x: x[0])
+        toxic = np.array([c for _, c, _ in found], bool)
+        lengths = np.array([len(f) for _, _, f in found], np.int64)
+        at = np.concatenate([np.zeros(0, np.int32), *[f for _, _, f in found]])
+        found.clear()
+        weights, bias = fit(at, lengths, toxic, *shared.value)
+        yield pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
+
     rows = (docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("_lid"))
-            .dropDuplicates(["_lid"]).select("_lid", "_toxic", as_bytes("text").alias("_f")).toArrow())
-    order = np.argsort(rows["_lid"].to_numpy(), kind="stable")
-    toxic = rows["_toxic"].to_numpy()[order] > 0
-    found = [np.frombuffer(x.as_buffer(), np.int32) if x.as_buffer().size else np.zeros(0, np.int32)
-             for chunk in rows["_f"].chunks for x in chunk]     # views of the collected buffers
-    lengths = np.array([len(found[i]) for i in order], np.int64)
-    at = np.concatenate([np.zeros(0, np.int32), *[found[i] for i in order]])
-    del found, rows
-    return fit(at, lengths, toxic)
+            .dropDuplicates(["_lid"]).select("_lid", "_toxic", "text").repartition(1))
+    model = materialise(rows.mapInPandas(fit_all, "weights binary, bias double"), "toxicity-model").first()
+    if model is None:                   # no partition at all
+        return fit(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool), counts, totals)
+    return np.frombuffer(bytes(model["weights"]), np.float32), model["bias"]
 
 
 def score(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> DataFrame:

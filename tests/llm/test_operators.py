@@ -156,6 +156,17 @@ def test_toxicity_learns_and_holds_out(spark):
     assert none.where(F.col("score") < 0.5).count() == len(rows)
 
 
+def test_toxicity_counts_all_labelled_rows(spark):
+    rare = ["zqxj", "wvkp", "hjbd", "fygc", "mlnr", "kkuu", "bbvv", "ppqq", "ddjj", "ggww"]
+    rows = [(i, "common text" + (f" {rare[i // 2 % 10]}" if i % 2 else ""), i % 2) for i in range(120)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    counts, totals = toxicity.class_counts(d.withColumnRenamed("toxic", "_toxic"))
+    plain = toxicity.features("common text")
+    assert totals.tolist() == [60, 60] and (counts[:, plain].max(axis=0) == 60).all()
+    weights = toxicity.train(d.drop("toxic"), d, max_rows=8)[0]      # 8 rows hold no rare word three times
+    assert max(weights[np.setdiff1d(toxicity.features(f"common text {w}"), plain)].max() for w in rare) > 0
+
+
 def test_decontamination_finds_edited_items(spark):
     item = "the quick brown fox jumps over the lazy dog while seven wizards box quietly nearby"
     edited = item.replace("lazy", "lasy").replace("seven", "sven").upper()
