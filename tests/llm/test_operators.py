@@ -178,6 +178,29 @@ def test_decontamination_finds_edited_items(spark):
     assert out == {1: [7, 10], 2: [7, 10], 3: [], 4: [], 5: []}
 
 
+def test_decontamination_finds_short_items_and_items_without_id(spark):
+    d = spark.createDataFrame([(1, "He asked: Who wrote  Emma? Nobody knew"), (2, "grandwho wrote emmas"), (3, "who wrot emma"), (4, "pi is 3.14 or so"),
+                               (5, "an item without any id at all but long enough"), (6, None), (7, "问题中国的首都是哪里答案")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "who wrote emma"), (2, "Pi"), (3, " "), (4, "中国的首都是哪里"), (None, "item without any id at all but long")],
+                              "item_id long, text string")
+    want = {1: [1], 2: [], 3: [1], 4: [2], 5: [None], 6: [], 7: [4]}
+    for size in (8 << 20, 60):                       # one block, several blocks
+        out = decontaminate.contaminated(d, b, block_bytes=size).collect()
+        assert {r["doc_id"]: r["items"] for r in out} == want
+        assert all(r["contaminated"] == bool(want[r["doc_id"]]) for r in out)
+
+
+def test_decontamination_holds_one_block_at_a_time(spark, monkeypatch):
+    d = spark.createDataFrame([(1, "one two three"), (1, "one two three")], "doc_id long, text string")
+    b = spark.createDataFrame([(i, t) for i, t in enumerate(["one", "two", "three", "four"] * 2)], "item_id long, text string")
+    events, blocks, write = [], decontaminate.item_blocks, decontaminate.materialise
+    monkeypatch.setattr(decontaminate, "item_blocks", lambda *a: (events.append("block") or x for x in blocks(*a)))
+    monkeypatch.setattr(decontaminate, "materialise", lambda *a: (events.append("written"), write(*a))[1])
+    out = decontaminate.contaminated(d, b, block_bytes=100).collect()
+    assert [r["items"] for r in out] == [[0, 1, 2, 4, 5, 6]] * 2
+    assert events == ["block", "written"] * (len(events) // 2) and len(events) > 2
+
+
 def test_myers_equals_dynamic_programming():
     rng = np.random.default_rng(5)
     for _ in range(200):
