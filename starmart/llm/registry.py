@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-from . import ann, decontaminate, lines, mixing, pii, sharding, simhash, substrings, token_output, toxicity
+from . import ann, decontaminate, lexicon, lines, mixing, pii, sharding, simhash, substrings, token_output, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,6 +86,14 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded through the lexicon of their frequent words, and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = lexicon.decode(lexicon.encode(docs, tokenizer_path()), tokenizer_path())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 ORACLE = {
     "op1_mixing": """
 WITH d AS (
@@ -149,7 +157,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_mixing, op2_simhash, op3_tokens, op4_substrings, op5_toxicity, op6_decontaminate, op7_sharding, op8_pii, op9_ann,
-           op10_lines, pipeline]
+           op10_lines, op13_bpe, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
