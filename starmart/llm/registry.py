@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.session import scratch_path
 
-from . import ann, decontaminate, lexicon, lines, mixing, pii, sharding, simhash, substrings, token_output, toxicity
+from . import ann, decontaminate, lexicon, lines, merkle, mixing, pii, sharding, simhash, substrings, token_output, toxicity
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,6 +86,16 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, those of a seventh of the ids checked with one added to their ``n_chars``."""
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")      # beyond the largest long too
+    said = {"n_chars": F.when(hit, more).otherwise(F.col("n_chars").cast("string"))}
+    return merkle.manifest(docs, claim=said).check().withColumnRenamed("key", "doc_id").select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded through the lexicon of their frequent words, and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -157,7 +167,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_mixing, op2_simhash, op3_tokens, op4_substrings, op5_toxicity, op6_decontaminate, op7_sharding, op8_pii, op9_ann,
-           op10_lines, op13_bpe, pipeline]
+           op10_lines, op12_merkle, op13_bpe, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
