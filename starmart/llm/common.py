@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.session import materialise
+
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS_PER_GROUP = 1024
 
@@ -63,6 +65,27 @@ def with_prefix(df: DataFrame, group: list[str], bucket: str, order: list[Column
             .select(*[run[c] for c in df.columns], (F.col("_run") + F.col("_off")).alias(out)))
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Rows with ``idx``, their place from 0 in the ``order`` of their ``group``, and ``n``, the group's rows.
+
+    Rows are written once and cut into ranges of (group, order, place written), so no group is sorted by one task and
+    copies of a row are cut apart too; a range's first place comes from one row per (group, range).
+    """
+    once = materialise(df.withColumn("_at", F.monotonically_increasing_id()), f"{name}-rows")
+    by = [*group, *order, "_at"]
+    ranged = materialise(once.repartitionByRange(*by).sortWithinPartitions(*by)
+                         .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()), f"{name}-order")
+    per = ranged.groupBy(*group, "_pid").agg(F.count("*").alias("_n"), F.min("_pos").alias("_p0"))
+    own = Window.partitionBy(*group)
+    per = per.select(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)], F.col("_pid").alias("_q"), "_p0", F.sum("_n").over(own).alias("n"),
+                     (F.sum("_n").over(own.orderBy("_pid")) - F.col("_n")).alias("_before"))
+    on = F.col("_pid") == F.col("_q")
+    for k, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{k}"))
+    return (ranged.join(per, on).withColumn("idx", F.col("_pos") - F.col("_p0") + F.col("_before"))
+            .select(*df.columns, "idx", "n"))
+
+
 def replace_columns(docs: DataFrame, new: list[str]) -> list[str]:
     """Input columns that stay: those whose name no output column takes (any case)."""
     taken = {n.lower() for n in new}

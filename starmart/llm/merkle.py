@@ -25,11 +25,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.session import materialise
 
+from . import common
+
 HEIGHT = 12               # of a block
 WIDTH = 1 << HEIGHT
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -122,19 +124,9 @@ def leaf_digest(fields: list[Column]) -> Column:
     return F.sha2(F.concat(*[field(c) for c in fields]), 256)
 
 
-def _numbered(leaves: DataFrame) -> DataFrame:
-    """``leaves`` (tree, key, digest, ...) with ``idx`` within the tree and ``n`` of the tree. The order is cut into ranges, so
-    no tree is sorted by one task; places in the written table end the range key, so copies of a row are cut too."""
-    once = materialise(leaves.withColumn("_at", F.monotonically_increasing_id()), "merkle-leaves")
-    order = ["tree", "key", "digest", "_at"]
-    ranged = materialise(once.repartitionByRange(*order).sortWithinPartitions(*order)
-                         .withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id()), "merkle-order")
-    per = ranged.groupBy("tree", "_pid").agg(F.count("*").alias("_n"), F.min("_pos").alias("_p0"))
-    tree = Window.partitionBy("tree")
-    per = per.select("tree", "_pid", "_p0", F.sum("_n").over(tree).alias("n"),
-                     (F.sum("_n").over(tree.orderBy("_pid")) - F.col("_n")).alias("_before"))
-    return (ranged.join(per, ["tree", "_pid"]).withColumn("idx", F.col("_pos") - F.col("_p0") + F.col("_before"))
-            .drop("_at", "_pid", "_pos", "_p0", "_before"))
+def _order(leaves: DataFrame) -> DataFrame:
+    """``leaves`` (tree, key, digest, ...) with ``idx`` within the tree and ``n`` of the tree."""
+    return common.numbered(leaves, ["tree"], ["key", "digest"], "merkle")
 
 
 def _height(n: int) -> int:
@@ -258,6 +250,6 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, group: str = "la
     tree = F.coalesce(F.concat(F.lit("="), F.col(f"`{group}`").cast("string")), F.lit(""))     # null first, then in byte order
     leaves = docs.select(tree.alias("tree"), F.col(f"`{key}`").cast("long").alias("key"), leaf_digest(own).alias("digest"),
                          (leaf_digest(said) if claim else leaf_digest(own)).alias("claim"))
-    groups = Forest.build(materialise(_numbered(leaves), "merkle-numbered"))
+    groups = Forest.build(materialise(_order(leaves), "merkle-numbered"))
     roots = groups.roots.select(F.lit("").alias("tree"), F.col("tree").alias("key"), F.col("root").alias("digest"))
-    return Manifest(groups, Forest.build(materialise(_numbered(roots), "merkle-roots")))
+    return Manifest(groups, Forest.build(materialise(_order(roots), "merkle-roots")))

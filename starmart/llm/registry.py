@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_path
+from starmart.session import materialise, scratch_path
 
-from . import ann, decontaminate, lexicon, lines, merkle, mixing, pii, sharding, simhash, substrings, token_output, toxicity
+from . import ann, decontaminate, lexicon, lines, merkle, mixing, pii, sharding, simhash, substrings, token_output, toxicity, trie
 from .common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,6 +86,21 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt on the first turns of the first conversation of its hundred."""
+    own = materialise(trie.number_turns(table(spark, sf_dir, "conversations")), "turns")
+    mine = own.where(F.col("idx") == 0).select("conv_id", "n", (F.crc32(F.col("conv_id").cast("string")) % 6).alias("h"),
+                                               (F.col("conv_id") - F.col("conv_id") % 100).alias("base"))
+    base = mine.select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"))
+    mine = materialise(mine.join(base, "base", "left").withColumn("taken", F.least("h", F.coalesce("base_n", F.lit(0)))), "rebuilt")
+    lent = own.where(F.col("idx") < 5).select(F.col("conv_id").alias("base"), "idx", "digest", "chars")
+    lent = mine.join(lent, "base").where(F.col("idx") < F.col("h")).select("conv_id", (F.col("idx") + 1).alias("d"), "digest", "chars")
+    kept = own.join(mine.select("conv_id", "h", "taken"), "conv_id").where(F.col("idx") >= F.col("h")).select(
+        "conv_id", (F.col("taken") + F.col("idx") - F.col("h") + 1).alias("d"), "digest", "chars")
+    members = mine.select("conv_id", (F.col("taken") + F.greatest(F.col("n") - F.col("h"), F.lit(0))).alias("total"))
+    return trie.prefix_trie(members, lent.unionByName(kept))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proofs of all documents, those of a seventh of the ids checked with one added to their ``n_chars``."""
     docs = table(spark, sf_dir, "documents")
@@ -167,7 +182,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_mixing, op2_simhash, op3_tokens, op4_substrings, op5_toxicity, op6_decontaminate, op7_sharding, op8_pii, op9_ann,
-           op10_lines, op12_merkle, op13_bpe, pipeline]
+           op10_lines, op11_prefix_trie, op12_merkle, op13_bpe, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
