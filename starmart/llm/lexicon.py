@@ -14,7 +14,7 @@
 Why words may be taken apart: the byte-level pre-tokenizer starts a new piece at a space whose next character is no
 white space, so the ids of a text are those of the parts cut there, one after the other. Parts never cross
 an added token. A tokenizer that is not of this kind (another pre-tokenizer, a normalizer, a post-processor, added tokens
-that strip or need word borders) gets whole texts, and its own decoder.
+that strip or need word borders) gets whole texts, and its own decoder. A full stop or comma after a letter is cut off too.
 
 Defined cases: null text is empty; an empty text has no ids and decodes to an empty text; rows are
 encoded one by one, so ties and repeated rows keep their number; a null or other id is only carried; a
@@ -33,10 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from starmart.session import materialise, scratch_path
 
@@ -44,8 +46,10 @@ from . import common
 
 LEXICON_WORDS = 100_000
 WORD_BYTES = 24
-RUN_BYTES = 8 << 20       # text encoded together
+RUN_BYTES = 6 << 20       # text encoded together
 TOGETHER = 200            # unseen words merged as one text
+TAILS = ".,"
+LAST_LETTER = "\u0250"    # letters before it are letters in every version of Unicode
 MAGIC = b"SMFST1\0\0"
 OUT = ["ids", "n_tokens"]
 _INNER = re.compile(r" (?=\S)")
@@ -220,6 +224,40 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Decoder:
+    """The byte strings of the ids of a tokenizer file; the library's own decoder where they are not byte-level."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        self.by_byte = (said["decoder"] or {}).get("type") == "ByteLevel"
+        self.path = path
+        byte_of = _byte_of()
+        vocab = dict(said["model"]["vocab"]) | {t["content"]: t["id"] for t in said["added_tokens"]}
+        table = [b""] * (max(vocab.values(), default=-1) + 1)
+        for token, i in vocab.items():
+            known = all(c in byte_of for c in token)
+            table[i] = bytes(byte_of[c] for c in token) if known else token.encode()
+        self.size = np.fromiter(map(len, table), np.int64, len(table))
+        self.at = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(table), np.uint8)
+
+    @classmethod
+    def of(cls, path: str) -> Decoder:
+        if ("decoder", path) not in _WORKER:
+            _WORKER["decoder", path] = cls(path)
+        return _WORKER["decoder", path]
+
+    def decode(self, ids: bytes) -> str:
+        """The text of ids, special ones kept; broken UTF-8 is replaced."""
+        x = np.frombuffer(ids, "<u4")
+        if not self.by_byte:
+            return Codec.of(self.path).tokenizer.decode(x.tolist(), skip_special_tokens=False)
+        count = self.size[x]
+        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return self.bytes[np.repeat(self.at[x], count) + inside].tobytes().decode("utf-8", "replace")
+
+
 class Codec:
     """The tokenizer of a file; ``by_part`` tells whether texts may be cut into parts."""
 
@@ -235,18 +273,10 @@ class Codec:
         self.by_part = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                         and not said["normalizer"] and not said["post_processor"] and said["model"]["type"] == "BPE"
                         and len(added) < 2 and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added))
-        self.by_byte = (said["decoder"] or {}).get("type") == "ByteLevel"
-        if self.by_byte or self.by_part:
-            byte_of = _byte_of()
-            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-            table = [b""] * (max(vocab.values(), default=-1) + 1)
-            for token, i in vocab.items():
-                known = all(c in byte_of for c in token)
-                table[i] = bytes(byte_of[c] for c in token) if known else token.encode()
-            self.size = np.fromiter(map(len, table), np.int64, len(table))
-            self.at = np.cumsum(self.size) - self.size
-            self.bytes = np.frombuffer(b"".join(table), np.uint8)
-            self.opens = np.array([x[:1] == b" " for x in table], bool)      # ids that begin with a space
+        if self.by_part:
+            table = Decoder.of(path)
+            self.opens = (table.size > 0) & (table.bytes[np.minimum(table.at, len(table.bytes) - 1)] == ord(" "))    # ids that begin with a space
+            self.tail = {c: x.tobytes() for c, x in zip(TAILS, self.merge(list(TAILS)), strict=True)}
 
     @classmethod
     def of(cls, path: str) -> Codec:
@@ -270,7 +300,11 @@ class Codec:
         cut = [self.cut(t) if t else [] for t in texts]
         spaced = list({p for pieces in cut for parts in pieces for p in parts[1:]})
         first = list({parts[0] for pieces in cut for parts in pieces})
-        of = dict(zip(spaced, self._words([b" " + p.encode() for p in spaced], lexicon), strict=True))
+        # a full stop or comma after a letter is a piece of its own
+        ended = {p: p[:-1] for p in spaced if p[-1] in TAILS and p[-2:-1].isalpha() and p[-2] < LAST_LETTER}
+        words = list({ended.get(p, p) for p in spaced})
+        of = dict(zip(words, self._words([b" " + p.encode() for p in words], lexicon), strict=True))
+        of.update([(p, of[stem] + self.tail[p[-1]]) for p, stem in ended.items()])
         plain = {p: x.tobytes() for p, x in zip(first, self.merge(first), strict=True)}
         mark = np.array([self.tokenizer.token_to_id(self.special[0])], "<u4").tobytes() if self.special else b""
 
@@ -309,19 +343,11 @@ class Codec:
             out[k] = x
         return out
 
-    def decode(self, ids: bytes) -> str:
-        """The text of ids, special ones kept; broken UTF-8 is replaced."""
-        x = np.frombuffer(ids, "<u4")
-        if not self.by_byte:
-            return self.tokenizer.decode(x.tolist(), skip_special_tokens=False)
-        count = self.size[x]
-        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        return self.bytes[np.repeat(self.at[x], count) + inside].tobytes().decode("utf-8", "replace")
-
 
 def frequent_words(docs: DataFrame, most: int = LEXICON_WORDS) -> DataFrame:
     """The ``most`` most frequent words of all texts that follow a space and occur twice or more."""
-    words = docs.select(F.explode(F.split("text", " ")).alias("word"))
+    words = docs.select(F.explode(F.split(F.translate("text", "\n", " "), " ")).alias("word"))
+    words = words.select(F.expr(f"trim(TRAILING '{TAILS}' FROM word)").alias("word"))
     words = words.where((F.col("word") != "") & (F.octet_length("word") < WORD_BYTES))
     return words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most)
 
@@ -368,30 +394,37 @@ def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None) -> DataFrame:
-    """``docs`` with ``ids`` (binary: little endian, 4 bytes each) and ``n_tokens`` instead of nothing else;
+    """``docs`` with ``ids`` (binary: little endian, 4 bytes each) and ``n_tokens``;
     ``lexicon`` is a file of :func:`compile_lexicon`, compiled from ``docs`` where it is not given."""
     lexicon = lexicon or compile_lexicon(docs, tokenizer)
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, fst = Codec.of(tokenizer), load(lexicon)
-        for texts in batches:
-            texts = [t if isinstance(t, str) else "" for t in texts]
-            out: list[bytes] = []
-            for a, b in _runs(np.fromiter(map(len, texts), np.int64, len(texts)), RUN_BYTES):
-                out += codec.encode(texts[a:b], fst)
-            yield pd.Series(out, dtype=object)
+        for batch in batches:
+            sizes = np.nan_to_num(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+            for a, b in _runs(sizes, RUN_BYTES):
+                part = batch.slice(a, b - a)
+                ids = codec.encode(part.column("text").to_pylist(), fst)
+                columns = [part.column(c) for c in keep]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
+                                                 [*keep, *OUT])
 
     keep = common.replace_columns(docs, OUT)
-    return (docs.select(*[F.col(f"`{c}`") for c in keep], ids(F.col("text")).alias("ids"))
-            .withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long")))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("ids", BinaryType()), StructField("n_tokens", LongType())]))
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``df`` with ``out``: the text of the ids of each row."""
-    @F.pandas_udf("string")
-    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec.of(tokenizer)
-        for rows in batches:
-            yield pd.Series([codec.decode(x) for x in rows], dtype=object)
-    return df.withColumn(out, text(F.col(ids)))
+    """``df`` with ``out``: the text of the ids of each row; a row without ids has no text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Decoder.of(tokenizer)
+        for batch in batches:
+            sizes = np.nan_to_num(pc.binary_length(batch.column(ids)).to_numpy(zero_copy_only=False))
+            for a, b in _runs(sizes, RUN_BYTES):
+                part = batch.slice(a, b - a)
+                texts = [None if x is None else codec.decode(x) for x in part.column(ids).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(texts, pa.string())], [*keep, out])
+
+    keep = common.replace_columns(df, [out])
+    rows = df.select(*[F.col(f"`{c}`") for c in keep])
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))
