@@ -46,12 +46,11 @@ from . import common
 
 LEXICON_WORDS = 100_000
 WORD_BYTES = 24
-RUN_BYTES = 6 << 20       # text encoded together
+RUN_BYTES = 4 << 20       # text encoded together
 TOGETHER = 200            # unseen words merged as one text
 TAILS = ".,"
 LAST_LETTER = "\u0250"    # letters before it are letters in every version of Unicode
 MAGIC = b"SMFST1\0\0"
-OUT = ["ids", "n_tokens"]
 _INNER = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?!\S)")
 
@@ -393,38 +392,46 @@ def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None) -> DataFrame:
-    """``docs`` with ``ids`` (binary: little endian, 4 bytes each) and ``n_tokens``;
-    ``lexicon`` is a file of :func:`compile_lexicon`, compiled from ``docs`` where it is not given."""
-    lexicon = lexicon or compile_lexicon(docs, tokenizer)
-
+def _with(df: DataFrame, read: str, new: dict[str, tuple], make) -> DataFrame:
+    """``df`` with the columns ``new`` (name: its Arrow and Spark type), made by ``make()(values of column read)`` a run of rows at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, fst = Codec.of(tokenizer), load(lexicon)
+        values = make()
         for batch in batches:
-            sizes = np.nan_to_num(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+            sizes = np.nan_to_num(pc.binary_length(batch.column(read)).to_numpy(zero_copy_only=False))
             for a, b in _runs(sizes, RUN_BYTES):
                 part = batch.slice(a, b - a)
-                ids = codec.encode(part.column("text").to_pylist(), fst)
-                columns = [part.column(c) for c in keep]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
-                                                 [*keep, *OUT])
+                made = [pa.array(x, kind) for x, (kind, _) in zip(values(part.column(read).to_pylist()), new.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *made], [*keep, *new])
+
+    keep = common.replace_columns(df, list(new))
+    rows = df.select(*[F.col(f"`{c}`") for c in keep])
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, *[StructField(c, kind) for c, (_, kind) in new.items()]]))
+
+
+_IDS = {"ids": (pa.binary(), BinaryType()), "n_tokens": (pa.int64(), LongType())}
+_TEXT = (pa.string(), StringType())
+
+
+def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, decoded: str | None = None) -> DataFrame:
+    """``docs`` with ``ids`` (binary: little endian, 4 bytes each) and ``n_tokens``;
+    ``lexicon`` is a file of :func:`compile_lexicon`, compiled from ``docs`` where it is not given. With ``decoded`` a
+    column of that name holds what :func:`decode` makes of the ids, in the same task."""
+    lexicon = lexicon or compile_lexicon(docs, tokenizer)
 
-    keep = common.replace_columns(docs, OUT)
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("ids", BinaryType()), StructField("n_tokens", LongType())]))
+    def make():
+        codec, fst = Codec.of(tokenizer), load(lexicon)
+        decoder = Decoder.of(tokenizer)
+
+        def values(texts: list[str | None]) -> list[list]:
+            ids = codec.encode(texts, fst)
+            return [ids, [len(x) // 4 for x in ids], *([[decoder.decode(x) for x in ids]] if decoded else [])]
+        return values
+    return _with(docs, "text", _IDS | ({decoded: _TEXT} if decoded else {}), make)
 
 
 def decode(df: DataFrame, tokenizer: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with ``out``: the text of the ids of each row; a row without ids has no text."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Decoder.of(tokenizer)
-        for batch in batches:
-            sizes = np.nan_to_num(pc.binary_length(batch.column(ids)).to_numpy(zero_copy_only=False))
-            for a, b in _runs(sizes, RUN_BYTES):
-                part = batch.slice(a, b - a)
-                texts = [None if x is None else codec.decode(x) for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(texts, pa.string())], [*keep, out])
-
-    keep = common.replace_columns(df, [out])
-    rows = df.select(*[F.col(f"`{c}`") for c in keep])
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(out, StringType())]))
+    def make():
+        decoder = Decoder.of(tokenizer)
+        return lambda rows: [[None if x is None else decoder.decode(x) for x in rows]]
+    return _with(df, ids, {out: _TEXT}, make)

@@ -114,7 +114,7 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded through the lexicon of their frequent words, and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = lexicon.decode(lexicon.encode(docs, tokenizer_path()).drop("text"), tokenizer_path())
+    coded = lexicon.encode(docs, tokenizer_path(), decoded="decoded")
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
