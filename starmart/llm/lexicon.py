@@ -311,18 +311,21 @@ class Codec:
             return mark.join([b"".join([plain[parts[0]], *map(of.__getitem__, parts[1:])]) for parts in pieces])
         return [ids(pieces) if pieces else b"" for pieces in cut]
 
+    def merge_joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, edges) of words that follow a space, hold no other and end in no white space: ``TOGETHER`` at a time are merged as
+        one text, taken apart where an id begins with a space."""
+        texts = ["".join(words[a:a + TOGETHER]) for a in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *self.merge(texts)])
+        return ids, np.append(np.flatnonzero(self.opens[ids]), len(ids))
+
     def merge_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that follow a space, the space included. Words without another space are merged
-        ``TOGETHER`` at a time as one text and taken apart where an id begins with a space."""
+        """Ids of words that follow a space, the space included."""
         out: list[bytes | None] = [None] * len(words)
         plain = [k for k, w in enumerate(words) if " " not in w[1:] and not w[-1].isspace()]
-        texts = ["".join([words[k] for k in plain[a:a + TOGETHER]]) for a in range(0, len(plain), TOGETHER)]
-        if texts:
-            ids = np.concatenate(self.merge(texts))
-            edges = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * 4).tolist()
-            data = ids.tobytes()
-            for k, a, b in zip(plain, edges[:-1], edges[1:], strict=True):
-                out[k] = data[a:b]
+        ids, edges = self.merge_joined([words[k] for k in plain])
+        data, edges = ids.tobytes(), (edges * 4).tolist()
+        for k, a, b in zip(plain, edges[:-1], edges[1:], strict=True):
+            out[k] = data[a:b]
         rest = [k for k, x in enumerate(out) if x is None]
         for k, x in zip(rest, self.merge([words[k] for k in rest]), strict=True):
             out[k] = x.tobytes()

@@ -10,7 +10,8 @@ segment of two files below the output folder (any store that pyarrow opens by UR
 
 Elias-Fano keeps n sorted values below u in about 2 + log2(u / n) bits each: low
 bits packed, high bits in unary. ``select(i)`` finds the i-th value through a directory of one
-32-bit position per 256 values; there is no table of 64-bit offsets.
+32-bit position per 256 values; there is no table of 64-bit offsets, neither in the file nor in a
+reader, which decodes the boundaries of the documents it is about to return from where select puts the first.
 
 A segment is written under an attempt's own name and then renamed, so a task that runs
 again leaves the same file. The manifest (one row per segment, Parquet) is
@@ -39,11 +40,13 @@ from pyspark.sql import functions as F
 from starmart.session import materialise
 
 from . import common
+from .lexicon import Codec
 
 MAGIC = b"SMTOK1\0\0"
 SAMPLE = 256
 CACHE = 1_000_000         # word pieces a Python worker remembers
 READ_BYTES = 8 << 20      # ids that a reader holds at once
+READ_DOCS = 4096          # and documents
 MANIFEST = "segment int, n_docs long, n_nulls long, n_ids long, width int"
 
 
@@ -77,7 +80,11 @@ class EliasFano:
         return bits.reshape(-1, self.low_bits).astype(np.uint64) @ (np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64))
 
     def select(self, i: int) -> int:
-        """The i-th value: jump to the sampled position before it, count ones from there."""
+        """The i-th value."""
+        return ((self._place(i) - i) << self.low_bits) | int(self._low(i, i + 1)[0])
+
+    def _place(self, i: int) -> int:
+        """Place of the i-th one: jump to the sampled position before it, count ones from there."""
         if not 0 <= i < self.n:
             raise IndexError(i)
         bit, left = int(self.marks[i // SAMPLE]), i % SAMPLE
@@ -88,13 +95,25 @@ class EliasFano:
             bits[:skip] = 0
             here = np.flatnonzero(bits)
             if ones + len(here) > left:
-                place = at * 8 + int(here[left - ones])
-                return ((place - i) << self.low_bits) | int(self._low(i, i + 1)[0])
+                return at * 8 + int(here[left - ones])
             ones, at, skip = ones + len(here), at + 64, 0
 
-    def decode(self) -> np.ndarray:
-        at = np.flatnonzero(np.unpackbits(self.upper, count=self.n_upper, bitorder="little"))
-        return ((at - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(0, self.n)
+    def values(self, first: int, last: int) -> np.ndarray:
+        """Values first to last (exclusive): ones are read on from the place that select finds for the first."""
+        if first >= last:
+            return np.zeros(0, np.uint64)
+        bit = self._place(first)
+        at, skip, found, have = bit // 8, bit % 8, [], 0
+        while have < last - first:
+            step = max(64, (last - first - have) // 2)
+            bits = np.unpackbits(self.upper[at:at + step], bitorder="little")
+            bits[:skip] = 0
+            here = np.flatnonzero(bits) + at * 8
+            found.append(here)
+            have, at, skip = have + len(here), at + step, 0
+        place = np.concatenate(found)[:last - first]
+        high = (place - np.arange(first, last)).astype(np.uint64) << np.uint64(self.low_bits)
+        return high | self._low(first, last)
 
     def to_bytes(self) -> bytes:
         parts = [x.tobytes() for x in (self.low, self.upper, self.marks)]
@@ -112,7 +131,10 @@ class EliasFano:
 
 
 _WORKER: dict[str, Encoder] = {}
-_RUN_OF_BLANKS = re.compile(r"\s\s|^\s|\s$")
+_ODD = re.compile(r" (?!\S)")
+_INNER = re.compile(r" (?=\S)")
+_LONE = re.compile(r"(?<=\S) (?=\S)")
+_WORD = re.compile(r" [^ ]*\S")       # a space and a word without blanks at its ends
 
 
 class Encoder:
@@ -122,13 +144,13 @@ class Encoder:
     text's ids are those of the parts cut there, one after the other. Parts seen before are
     looked up; new ones are cut further at other sure piece ends (a single line end, a
     comma or full stop after a letter) and encoded by the library. The memory is bounded;
-    parts beyond it are encoded again for each batch.
+    parts beyond it are encoded again for each batch. A tokenizer that may not be taken apart so
+    (``Codec.by_part``) gets whole texts.
     """
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.type = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+        self.codec = Codec.of(path)
+        self.type = "<u2" if max(self.codec.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.type).tobytes()
         self.plain: dict[str, bytes] = {}       # part -> ids
         self.spaced: dict[str, bytes] = {}      # part -> ids of a space and the part
@@ -140,19 +162,12 @@ class Encoder:
             _WORKER[key] = cls(path, end_id)
         return _WORKER[key]
 
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        """Parts of the text; all but the first follow a space that belongs to them."""
-        parts = text.split(" ")
-        if not _RUN_OF_BLANKS.search(text):
-            return parts
-        out = [parts[0]]
-        for p in parts[1:]:
-            if not p or p[0].isspace() or not out[-1] or out[-1][-1].isspace():
-                out[-1] += " " + p
-            else:
-                out.append(p)
-        return out
+    def cut(self, text: str) -> list[str]:
+        """Parts of the text; all but the first follow a space that belongs to them: one whose next character is no
+        blank and, in a text that holds an added token, whose last is none either."""
+        if any(token in text for token in self.codec.special):
+            return _LONE.split(text)
+        return _INNER.split(text) if _ODD.search(text) else text.split(" ")
 
     @classmethod
     def atoms(cls, part: str) -> list[str]:
@@ -169,14 +184,21 @@ class Encoder:
         return [part]
 
     def _library(self, parts: set[str]) -> dict[str, bytes]:
-        cut = {p: self.atoms(p) for p in parts}
-        new = list({a for atoms in cut.values() for a in atoms})
-        ids = {a: np.array(e.ids, self.type).tobytes()
-               for a, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        return {p: b"".join([ids[a] for a in atoms]) for p, atoms in cut.items()}
+        cut = {p: self.atoms(p) for p in parts if "\n" in p or p[-1:] in (".", ",")}
+        new = parts.difference(cut).union(*cut.values())
+        words = [a for a in new if _WORD.fullmatch(a)]
+        flat, edges = self.codec.merge_joined(words)
+        data, edges = flat.astype(self.type).tobytes(), (edges * np.dtype(self.type).itemsize).tolist()
+        ids = {w: data[a:b] for w, a, b in zip(words, edges[:-1], edges[1:], strict=True)}
+        rest = list(new.difference(words))
+        ids.update(zip(rest, [x.astype(self.type).tobytes() for x in self.codec.merge(rest)], strict=True))
+        ids.update([(p, b"".join([ids[a] for a in atoms])) for p, atoms in cut.items()])
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text with the end id, as bytes."""
+        if not self.codec.by_part:
+            return [x.astype(self.type).tobytes() + self.end for x in self.codec.merge([t or "" for t in texts])]
         cut = [self.cut(t) if t else [] for t in texts]
         plain, spaced = self.plain, self.spaced
         new_plain = {p[0] for p in cut if p} - plain.keys()
@@ -267,6 +289,11 @@ class Segment:
         self.bounds, at = EliasFano.from_bytes(data, 40)
         self.ids, _ = EliasFano.from_bytes(data, at)
 
+    def names(self, first: int, last: int) -> pd.Series:
+        """Ids of documents first to last; null ones come first."""
+        known = self.ids.values(max(first - self.nulls, 0), max(last - self.nulls, 0)).view(np.int64) + self.least
+        return pd.array([None] * (last - first - len(known)) + known.tolist(), dtype="Int64")
+
     def read(self, first: int, last: int) -> np.ndarray:
         with self.fs.open_input_file(f"{self.name}.ids") as f:
             f.seek(first * self.width)
@@ -282,21 +309,18 @@ def read_tokens(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFr
         for rows in batches:
             for number, start in zip(rows["segment"], rows["start"], strict=True):
                 seg = Segment(folder, int(number))
-                bounds = seg.bounds.decode().astype(np.int64)
-                known = seg.ids.decode().view(np.int64) + seg.least
-                names = pd.array([None] * seg.nulls + known.tolist(), dtype="Int64")
                 at = 0
                 while at < seg.n:
-                    to = int(np.searchsorted(bounds, bounds[at] + READ_BYTES // seg.width, "right")) - 1
-                    to = min(max(to, at + 1), seg.n)
-                    ids = seg.read(int(bounds[at]), int(bounds[to])).astype("<u4")
-                    base = int(bounds[at])
+                    bounds = seg.bounds.values(at, min(at + READ_DOCS, seg.n) + 1).astype(np.int64)
+                    many = int(np.searchsorted(bounds, bounds[0] + READ_BYTES // seg.width, "right")) - 1
+                    many = min(max(many, 1), len(bounds) - 1)
+                    base = int(bounds[0])
+                    ids = seg.read(base, int(bounds[many])).astype("<u4")
                     yield pd.DataFrame({
-                        "doc_id": names[at:to], "start": bounds[at:to] + int(start),
-                        "n_tokens": np.diff(bounds[at:to + 1]),
+                        "doc_id": seg.names(at, at + many), "start": bounds[:many] + int(start), "n_tokens": np.diff(bounds[:many + 1]),
                         "ids": [ids[a - base:b - base].tobytes() for a, b in
-                                zip(bounds[at:to].tolist(), bounds[at + 1:to + 1].tolist(), strict=True)]})
-                    at = to
+                                zip(bounds[:many].tolist(), bounds[1:many + 1].tolist(), strict=True)]})
+                    at += many
 
     starts = manifest.withColumn("_b", F.floor(F.col("segment") / common.BUCKETS_PER_GROUP))
     starts = common.with_prefix(starts, [], "_b", [F.col("segment")], F.col("n_ids"), "start")
