@@ -10,7 +10,8 @@ their ids), whole texts each, by one task, so the driver holds vectors of ``2 **
 document is scored whole.
 
 Defined cases: null and empty texts score the model's bias; rows without or with a null label are not
-learnt from; several labels of one id count as toxic if any is; without
+learnt from; several labels of one id count as toxic if any is; all documents that share a labelled id are
+counted, the one with the smallest text digest is fitted on; without
 both classes in the sample every score is the share of toxic rows (0 if none); a null
 id is never held out nor learnt from.
 """
@@ -34,6 +35,8 @@ MAX_FIT_ROWS = 6000
 SMOOTH = 1.0
 MIN_ROWS = 3         # labelled rows that hold a feature
 STEPS = 150
+BROADCAST_LABELS = 1_000_000         # ids and classes, 16 bytes each
+FILTER_BITS = 27                     # bit map of the labelled ids: 16 MB
 CHUNK = 1 << 20      # entries of the fitting rows that a step handles at once
 
 
@@ -108,12 +111,46 @@ def class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return counts[:, :-1], counts[:, -1]
 
 
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A bit map of the hashed ids: ``2 ** FILTER_BITS`` bits whatever their number."""
+    at = F.pmod(F.xxhash64("_lid"), F.lit(1 << FILTER_BITS)) + 1       # Spark's bit maps count from one
+    parts = ids.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m"))
+    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for r in parts.toLocalIterator():           # 4 KB a row, a fixed number of rows at most
+        m, first = np.frombuffer(bytes(r["m"]), np.uint8), (r["b"] - 1) * 4096
+        out[first:first + len(m)] = m
+    return out
+
+
+def labelled(docs: DataFrame, known: DataFrame, most: int = None) -> DataFrame:
+    """``docs`` (doc_id, text) with the columns of ``known`` (_lid, ...) of their id; others go.
+
+    Texts are not shuffled to find the labelled ones: up to ``most`` (``BROADCAST_LABELS``) labels go to the documents as a
+    broadcast; beyond it a bit map of fixed size drops nearly all other documents in the scan before the
+    two sides meet in a shuffle join. Both give the same rows.
+    """
+    on = F.col("doc_id") == F.col("_lid")
+    if known.limit((most or BROADCAST_LABELS) + 1).count() <= (most or BROADCAST_LABELS):
+        return docs.join(F.broadcast(known), on)
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(known))
+
+    @F.pandas_udf("boolean")
+    def may_be(at: pd.Series) -> pd.Series:
+        bits, at = shared.value, at.to_numpy(np.int64)
+        return pd.Series((bits[at >> 3] >> (at & 7)) & 1 == 1)
+
+    hit = may_be(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS)))
+    return docs.where(F.col("doc_id").isNotNull()).where(hit).join(known.hint("merge"), on)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> tuple[np.ndarray, float]:
     """Ratios from all labelled rows that are not held out, fitted on a bounded sample of them."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-             .groupBy(F.col("doc_id").alias("_lid")).agg(F.max("toxic").alias("_toxic")))
+             .groupBy(F.col("doc_id").cast("long").alias("_lid")).agg(F.max("toxic").cast("int").alias("_toxic")))
+    known = materialise(known, "toxicity-labels")
     some = known.orderBy(F.md5(F.concat(F.lit("fit"), F.col("_lid").cast("string"))), "_lid").limit(max_rows)
-    counts, totals = class_counts(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_lid")))
+    texts = docs.select("doc_id", "text")
+    counts, totals = class_counts(labelled(texts, known))
     shared = docs.sparkSession.sparkContext.broadcast((counts, totals))
 
     def fit_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,8 +163,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS) -> t
         weights, bias = fit(at, lengths, toxic, *shared.value)
         yield pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
 
-    rows = (docs.select("doc_id", "text").join(some, F.col("doc_id") == F.col("_lid"))
-            .dropDuplicates(["_lid"]).select("_lid", "_toxic", "text").repartition(1))
+    # of documents that share an id the one whose text has the smallest digest is fitted on
+    rows = (labelled(texts, some, max_rows).groupBy("_lid", "_toxic")
+            .agg(F.min_by("text", F.struct(F.md5("text"), "text")).alias("text")).repartition(1))
     model = materialise(rows.mapInPandas(fit_all, "weights binary, bias double"), "toxicity-model").first()
     if model is None:                   # no partition at all
         return fit(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool), counts, totals)
