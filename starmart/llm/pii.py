@@ -30,13 +30,21 @@ from starmart.session import materialise
 
 # fixed values: the base patterns
 PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
-    "card": re.compile(r"[0-9](?:[\x20-]?[0-9])+"),
-    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = list(PATTERNS)
-TOKEN = re.compile(r"[A-Za-z0-9@._+()-]*[0-9][A-Za-z0-9@._+()-]*")
+# the same matches in one pass over any text: an address is found by its host and grows to the left from there, an ip
+# starts where a run of digits does (a later start in the run fails alike), groups never give digits back
+HOST = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+NAME = re.compile(r"[A-Za-z0-9._%+-]*+")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+PHONE = re.compile(PATTERNS["phone"])
+TOKEN = re.compile(r"[A-Za-z0-9@._+()-]++")        # with a digit in it
+DIGIT = re.compile(r"[0-9]")
 NUMBER = re.compile(r"[+(]{0,2}[0-9][0-9().-]*")       # a token that can be a group of a longer number
 JOIN = re.compile(r"\x20{1,2}|\x20[.-]\x20|[.-]?\(|\)\x20?")
 GROUPED = range(7, 20)                                  # digits of a number written in groups
@@ -67,7 +75,8 @@ def luhn(digits: str) -> bool:
 
 def _holds(kind: str, found: str) -> bool:
     if kind == "ip":
-        return all(int(p) <= 255 for p in found.split("."))
+        parts = [p.lstrip("0") for p in found.split(".")]
+        return all(len(p) < 3 or len(p) == 3 and p <= "255" for p in parts)
     digits = re.sub(r"[^0-9]", "", found)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
@@ -77,7 +86,22 @@ def _holds(kind: str, found: str) -> bool:
 def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) by kind, then start; code points, end exclusive."""
     t = text or ""
-    return [(k, m.start(), m.end()) for k, p in PATTERNS.items() for m in p.finditer(t) if _holds(k, m.group())]
+    found = [("email", a, b) for a, b in _emails(t)]
+    for kind, pattern in (("ip", IP), ("card", CARD), ("phone", PHONE)):
+        found += [(kind, m.start(), m.end()) for m in pattern.finditer(t) if _holds(kind, m.group())]
+    return found
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    if "@" not in text:
+        return
+    back, end = text[::-1], 0
+    for m in HOST.finditer(text):
+        start = len(text) - NAME.match(back, len(text) - m.start()).end()
+        start = max(start, end)
+        if start < m.start():
+            end = m.end()
+            yield start, end
 
 
 def spans_text(spans: list[tuple[str, int, int]]) -> str:
@@ -131,6 +155,8 @@ def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]
         row.clear()
 
     for a, b in _apart(TOKEN, text, [*taken, *out]):
+        if not DIGIT.search(text, a, b):
+            continue
         while text[b - 1] in ".-(" or text[b - 1] == ")" and "(" not in text[a:b]:
             b -= 1
         if not NUMBER.fullmatch(text, a, b):
