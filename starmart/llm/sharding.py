@@ -6,8 +6,9 @@ proportion, so cutting it into equal runs gives shards that all match the mixtur
 The law is ``rows``: row counts of any two shards differ by one at most.
 
 No task sees a whole source or the whole order: ranks are counted within buckets of
-the hash and positions within buckets of the fraction, both of about equal size by
-construction, and added to offsets from one summary row per bucket.
+the hash and positions within buckets of the fraction, and added to offsets from one summary row per
+bucket. Hashes of distinct rows fall into the buckets evenly; rows that share a hash (copies) are numbered first, by
+ranges of the written table, and hashed again with their number, so a group of copies is spread too.
 
 Defined cases: null text has no bytes and a null crc32 input is the empty text; a null
 source is a stratum of its own; repeated rows take places of their own; equal texts
@@ -36,6 +37,15 @@ def digest(docs: DataFrame) -> DataFrame:
                        F.crc32(text.cast("binary")).alias("text_crc32"))
 
 
+def _apart(base: DataFrame, seed: int) -> DataFrame:
+    """``base`` (_row, _src, _h) with rows of one hash told apart: all but the first of them are hashed with their number."""
+    same = base.groupBy(F.col("_h").alias("_same")).agg(F.count("*").alias("_c")).where("_c > 1").drop("_c")
+    one, more = (base.join(same, base["_h"] == same["_same"], how) for how in ("left_anti", "left_semi"))
+    more = common.numbered(more, ["_h"], ["_row", "_src"], "shard-copies").drop("n")
+    more = more.withColumn("_h", F.when(F.col("idx") > 0, common.row_digest(seed, "_h", "idx")).otherwise(F.col("_h"))).drop("idx")
+    return materialise(one.unionByName(more), "shard-apart")
+
+
 def interleave(rows: DataFrame, shards: int, seed: int = 17, stratum: str = "source",
                identity: list[str] | None = None) -> DataFrame:
     """All columns of ``rows`` with ``law``, ``shard``, ``slot`` and ``grown_shard``.
@@ -45,9 +55,9 @@ def interleave(rows: DataFrame, shards: int, seed: int = 17, stratum: str = "sou
     """
     keep = common.replace_columns(rows, OUT[2:])
     identity = identity or [c for c in keep if c != stratum]
-    base = materialise(rows.select(
+    base = _apart(materialise(rows.select(
         F.struct(*[rows[c] for c in keep]).alias("_row"), F.col(stratum).alias("_src"),
-        common.row_digest(seed, *identity).alias("_h")), "shard-rows")
+        common.row_digest(seed, *identity).alias("_h")), "shard-rows"), seed)
     ties = [F.col(f"_row.`{c}`") for c in identity]
     counts = materialise(base.groupBy(F.col("_src").alias("_csrc")).agg(F.count("*").alias("_n")), "shard-counts")
     total = counts.agg(F.sum("_n")).first()[0] or 0
