@@ -13,9 +13,11 @@ Leaves are searched as blocks of (queries x rows). A leaf with many rows or quer
 dealt over several blocks, so a vector that a third of all rows share stays bounded; every block
 returns each query's best k and a last step keeps the best k of all.
 
-Defined cases: vectors that are null, empty, zero, of another length than most of the sample or hold
-null or non-finite components take no part, nor do rows without id; ties go to the smaller id;
-rows equal in id are candidates of their own, but never a neighbour of a query with that id;
+Defined cases: vectors that are null, empty, zero, of another length than most of the sample (they have no inner product
+with it) or hold null or non-finite components take no part, nor do rows without id; ties go to the smaller id; a
+product that overflows is infinite, one that is no number comes last; rows equal in id are candidates of their
+own, but never a neighbour of a query with that id; copies of a query row ask once, and where rows with one id hold
+different vectors a candidate counts with its best score;
 an empty table gives an empty result; fewer candidates than k give them all.
 """
 
@@ -35,8 +37,9 @@ MAX_FIT_ROWS = 16384
 BRANCH = 8
 LEAF = 96            # sample vectors below which a node is not split
 CALIBRATE = 64
+WIDEST = 1e100       # components beyond it count as this in the tree (scores are of the vectors themselves)
 BLOCK = 4096         # rows, and queries, of one block
-OUT = "query_id long, vec_id long, score double"
+OUT = "query long, query_id long, row long, vec_id long, score double"
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -55,6 +58,7 @@ class Tree:
         self._grow(sample, np.random.default_rng(seed))
 
     def _grow(self, x: np.ndarray, rng: np.random.Generator) -> int:
+        x = np.clip(x, -WIDEST, WIDEST)
         node = len(self.centre)
         c = x.mean(axis=0)
         self.centre.append(c)
@@ -79,6 +83,7 @@ class Tree:
 
     def assign(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every row."""
+        x = np.clip(x, -WIDEST, WIDEST)
         out = np.empty(len(x), np.int32)
         work = [(0, np.arange(len(x)))]
         while work:
@@ -94,6 +99,7 @@ class Tree:
 
     def visit(self, q: np.ndarray, most: int, rows: np.ndarray | None = None, need: int = 0) -> list[int]:
         """The first ``most`` leaves of a best-bin-first walk, more until their ``rows`` reach ``need``."""
+        q = np.clip(q, -WIDEST, WIDEST)
         length = float(np.linalg.norm(q))
         heap, out, held = [(0.0, 0)], [], 0
         while heap and (len(out) < most or held < need):
@@ -106,20 +112,45 @@ class Tree:
         return out
 
 
-def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's best k of a block of rows."""
-    order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
-    score = q @ x.T
-    score[q_ids[:, None] == ids[None, :]] = -np.inf
-    top = np.argsort(-score, axis=1, kind="stable")[:, :k]
-    rows = np.repeat(np.arange(len(q)), top.shape[1])
-    out = pd.DataFrame({"query_id": q_ids[rows], "vec_id": ids[top.ravel()], "score": score[rows, top.ravel()]})
-    return out[np.isfinite(out["score"])]
+SLACK = 1e-9         # of |q||x|: what rounding may move a product of matrices by
+
+
+def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of rows, added in the order of the components, so equal vectors score alike in every block."""
+    out = np.zeros(len(q))
+    for k in range(q.shape[1]):
+        out += q[:, k] * x[:, k]
+    return out
+
+
+def _best(query: np.ndarray, q_ids: np.ndarray, q: np.ndarray, row: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
+    """Each query's best k of a block of rows; a row with the query's id is none of its neighbours. Scores that overflow count
+    as infinite, those that are no number as the least."""
+    rows, cols = [], []
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = q @ x.T
+        slack = SLACK * np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :]
+        for i in range(len(q)):
+            may = np.flatnonzero(ids != q_ids[i])
+            if len(may) > k:
+                least = np.nan_to_num(rough[i, may] - slack[i, may], nan=-np.inf)
+                edge = -np.partition(-least, k - 1)[k - 1]
+                # what may reach the k-th best, and all whose bounds overflow
+                may = may[~(rough[i, may] + slack[i, may] < edge)]
+            rows.append(np.full(len(may), i))
+            cols.append(may)
+        rows, cols = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (rows, cols))
+        score = _score(q[rows], x[cols])
+    score[np.isnan(score)] = -np.inf
+    out = pd.DataFrame({"query": query[rows], "query_id": q_ids[rows], "row": row[cols], "vec_id": ids[cols], "score": score})
+    out = out.sort_values(["query", "score", "vec_id", "row"], ascending=[True, False, True, True])
+    return out[out.groupby("query").cumcount() < k]
 
 
 def _keep(found: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    """The k best rows of each query id. Where rows with one id hold several vectors, a candidate counts with its best score."""
+    found = found.groupBy("query_id", "row", "vec_id").agg(F.max("score").alias("score"))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -149,10 +180,13 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
         for b in batches:
             yield b.assign(leaf=shared.value.assign(_matrix(b["v"])) if len(b) else [])
 
-    placed = materialise(rows.mapInPandas(place, "vec_id long, v array<double>, leaf int"), "ann-placed")
-    queries = placed.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v")
+    placed = materialise(rows.mapInPandas(place, "vec_id long, v array<double>, leaf int")
+                         .withColumn("row", F.monotonically_increasing_id()), "ann-placed")
+    # copies of a query row ask once
+    queries = placed.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy(F.col("vec_id").alias("query_id"), "v").agg(F.min("row").alias("query"))
+    queries = materialise(queries, "ann-queries")
 
-    probe = queries.orderBy(F.md5(F.concat(F.lit("probe"), F.col("query_id").cast("string"))), "query_id").limit(CALIBRATE).toPandas()
+    probe = queries.orderBy(F.md5(F.concat(F.lit("probe"), F.col("query_id").cast("string"))), "query_id", "v").limit(CALIBRATE).toPandas()
     most = calibrate(placed, probe, tree, k, target)
 
     held = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}       # a row per leaf
@@ -160,12 +194,12 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for i, v, own in zip(b["query_id"], b["v"], b["own"], strict=True):
+            for i, v, own in zip(b["query"], b["v"], b["own"], strict=True):
                 leaves = shared.value.visit(np.asarray(v), most, counts.value, k + own)
-                yield pd.DataFrame({"query_id": i, "leaf": np.array(leaves, np.int32)})
+                yield pd.DataFrame({"query": i, "leaf": np.array(leaves, np.int32)})
 
-    own = queries.groupBy("query_id").agg(F.count("*").alias("own"))
-    visits = queries.join(own.hint("merge"), "query_id").mapInPandas(walk, "query_id long, leaf int")
+    own = placed.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.count("*").alias("own"))
+    visits = queries.join(own.hint("merge"), "query_id").mapInPandas(walk, "query long, leaf int")
     n = {leaf: -(-count // BLOCK) for leaf, count in held.items()}
     visits = materialise(visits, "ann-visits")
     m = {r["leaf"]: -(-r["count"] // BLOCK) for r in visits.groupBy("leaf").count().collect()}
@@ -173,19 +207,19 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
                                   "_leaf int, _n int, _m int").where((F.col("_n") > 0) & (F.col("_m") > 0))
     parts = F.broadcast(parts)       # one row per leaf, at most MAX_FIT_ROWS
     data = (placed.join(parts, placed["leaf"] == parts["_leaf"])
-            .select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("_n")).alias("i"),
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m").cast("long") - 1)).alias("j"), "vec_id", "v"))
-    asked = visits.join(queries.withColumnRenamed("v", "qv"), "query_id")
+            .select("leaf", F.pmod(F.xxhash64("row"), F.col("_n")).alias("i"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("_m").cast("long") - 1)).alias("j"), "row", "vec_id", "v"))
+    asked = visits.join(queries.withColumnRenamed("v", "qv"), "query")
     asked = (asked.join(parts, asked["leaf"] == parts["_leaf"])
              .select("leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)).alias("i"),
-                     F.pmod(F.xxhash64("query_id"), F.col("_m")).alias("j"), "query_id", "qv"))
+                     F.pmod(F.xxhash64("query"), F.col("_m")).alias("j"), "query", "query_id", "qv"))
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        x, ids = _matrix(right["v"]), right["vec_id"].to_numpy()
-        q, q_ids = _matrix(left["qv"]), left["query_id"].to_numpy()
-        return pd.concat([_best(q_ids[a:a + 256], q[a:a + 256], ids, x, k) for a in range(0, len(q), 256)])
+            return pd.DataFrame({"query": [], "query_id": [], "row": [], "vec_id": [], "score": []})
+        x, ids, row = _matrix(right["v"]), right["vec_id"].to_numpy(), right["row"].to_numpy()
+        q, q_ids, query = _matrix(left["qv"]), left["query_id"].to_numpy(), left["query"].to_numpy()
+        return pd.concat([_best(query[a:a + 256], q_ids[a:a + 256], q[a:a + 256], row, ids, x, k) for a in range(0, len(q), 256)])
 
     found = asked.groupBy("leaf", "i", "j").cogroup(data.groupBy("leaf", "i", "j")).applyInPandas(block, OUT)
     return _keep(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -193,18 +227,18 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, target: float = 0.9
 
 def calibrate(placed: DataFrame, probe: pd.DataFrame, tree: Tree, k: int, target: float) -> int:
     """Leaf visits at which the probe's mean recall against brute force reaches ``target``."""
-    q_ids, q = probe["query_id"].to_numpy(), _matrix(probe["v"]) if len(probe) else np.zeros((0, 1))
-    if not len(q):
+    if not len(probe):
         return 1
+    query, q_ids, q = probe["query"].to_numpy(), probe["query_id"].to_numpy(), _matrix(probe["v"])
 
     def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                got = _best(q_ids, q, b["vec_id"].to_numpy(), _matrix(b["v"]), k)
-                leaf = b.drop_duplicates("vec_id").set_index("vec_id")["leaf"]
-                yield got.assign(leaf=leaf.loc[got["vec_id"]].to_numpy())
+                got = _best(query, q_ids, q, b["row"].to_numpy(), b["vec_id"].to_numpy(), _matrix(b["v"]), k)
+                yield got.assign(leaf=b.set_index("row")["leaf"].loc[got["row"]].to_numpy())
 
-    best = _keep(placed.mapInPandas(exact, OUT + ", leaf int"), k).toPandas()
-    place = {int(i): {leaf: n for n, leaf in enumerate(tree.visit(v, tree.leaves))} for i, v in zip(q_ids, q, strict=True)}
-    needed = np.sort([place[int(i)][leaf] + 1 for i, leaf in zip(best["query_id"], best["leaf"], strict=True)])
+    w = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "row")
+    best = placed.mapInPandas(exact, OUT + ", leaf int").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).toPandas()
+    place = {int(i): {leaf: n for n, leaf in enumerate(tree.visit(v, tree.leaves))} for i, v in zip(query, q, strict=True)}
+    needed = np.sort([place[int(i)][leaf] + 1 for i, leaf in zip(best["query"], best["leaf"], strict=True)])
     return int(needed[int(np.ceil(target * len(needed))) - 1]) if len(needed) else 1
