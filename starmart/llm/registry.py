@@ -119,6 +119,19 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def _crc32(number: str) -> str:
+    """DuckDB SQL: the unsigned crc32 of a number's decimal text, bit by bit."""
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({number}::VARCHAR, ''), "
+            "lambda ch: ascii(ch)::BIGINT)), lambda crc, b: list_reduce([xor(crc, b), 0::BIGINT, 0, 0, 0, 0, 0, 0, 0], "
+            "lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))")
+
+
+def _leaf(n_chars: str) -> str:
+    """DuckDB SQL: the digest of a row of documents."""
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+                                   for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
 ORACLE = {
     "op1_mixing": """
 WITH d AS (
@@ -172,6 +185,51 @@ t AS (SELECT n.doc_id, count(c.i) AS n_removed,
 SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE t.text END AS text
 FROM d LEFT JOIN t ON t.doc_id = d.doc_id""",
+    "op11_prefix_trie": f"""
+WITH o AS (SELECT conv_id, md5(octet_length(encode(coalesce(role, '')))::VARCHAR || '|' || coalesce(role, '') || coalesce(text, '')) AS k,
+                  length(coalesce(text, '')) AS chars, turn FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(chars ORDER BY turn NULLS FIRST, k) AS cs FROM o GROUP BY 1),
+h AS (SELECT *, {_crc32('conv_id')} % 6 AS h FROM s),
+r AS (SELECT h.conv_id, coalesce(b.ks, [])[1:h.h::BIGINT] || h.ks[(h.h + 1)::BIGINT:] AS ks,
+             coalesce(b.cs, [])[1:h.h::BIGINT] || h.cs[(h.h + 1)::BIGINT:] AS cs
+      FROM h LEFT JOIN s AS b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, len(ks) AS total, u.d, array_to_string(ks[1:u.d], ',') AS node,
+             CASE WHEN u.d > 0 THEN array_to_string(ks[1:u.d - 1], ',') END AS up, CASE WHEN u.d > 0 THEN cs[u.d] ELSE 0 END AS chars
+      FROM r, LATERAL (SELECT unnest(range(0, len(ks) + 1)) AS d) AS u),
+n AS (SELECT d, node, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS own,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE total = d), '')) AS ends_sha256
+      FROM p GROUP BY 1, 2),
+c AS (SELECT d - 1 AS d, up AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (d, node)),
+a AS (SELECT u.d, array_to_string(string_split(node, ',')[1:u.d], ',') AS node, sum((n_children = 0)::INT) AS n_leaves, sum(own) AS saved_tokens
+      FROM f, LATERAL (SELECT unnest(range(0, f.d + 1)) AS d) AS u GROUP BY 1, 2)
+SELECT f.conv_id, f.d::BIGINT AS depth, q.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       a.n_leaves::BIGINT AS n_leaves, a.saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN a USING (d, node) LEFT JOIN n AS q ON q.d = f.d - 1 AND q.node = f.up""",
+    "op12_merkle": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf('n_chars')} AS leaf,
+         CASE WHEN {_crc32('doc_id')} % 7 = 0 THEN {_leaf('(n_chars::HUGEINT + 1)')} ELSE {_leaf('n_chars')} END AS claim
+  FROM documents),
+m AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+t AS (SELECT tree, 0 AS k, list(leaf ORDER BY i) AS l FROM m GROUP BY tree
+      UNION ALL
+      SELECT tree, k + 1, list_transform(range(0, (len(l) + 1) // 2), lambda j: sha256(l[2 * j + 1] || coalesce(l[2 * j + 2], ''))) FROM t WHERE len(l) > 1),
+r AS (SELECT tree, l[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i FROM t WHERE len(l) = 1),
+u AS (SELECT 0 AS k, list(subroot ORDER BY i) AS l FROM r HAVING count(*) > 0
+      UNION ALL
+      SELECT k + 1, list_transform(range(0, (len(l) + 1) // 2), lambda j: sha256(l[2 * j + 1] || coalesce(l[2 * j + 2], ''))) FROM u WHERE len(l) > 1),
+low AS (SELECT m.tree, m.i, list(coalesce((['R', 'L'])[(m.i >> t.k) % 2 + 1] || t.l[xor(m.i >> t.k, 1) + 1], '-') ORDER BY t.k) AS steps
+        FROM m JOIN t ON t.tree = m.tree AND len(t.l) > 1 GROUP BY 1, 2),
+top AS (SELECT r.tree, list(coalesce((['R', 'L'])[(r.i >> u.k) % 2 + 1] || u.l[xor(r.i >> u.k, 1) + 1], '-') ORDER BY u.k) AS steps
+        FROM r JOIN u ON len(u.l) > 1 GROUP BY 1),
+w AS (SELECT m.doc_id, m.leaf, m.claim, r.subroot, (SELECT l[1] FROM u WHERE len(l) = 1) AS root,
+             coalesce(low.steps, []) || coalesce(top.steps, []) AS steps
+      FROM m JOIN r USING (tree) LEFT JOIN low ON low.tree = m.tree AND low.i = m.i LEFT JOIN top ON top.tree = m.tree),
+z AS (SELECT *, sha256(array_to_string(list_transform(steps, lambda s: CASE WHEN s = '-' THEN '' ELSE s[2:] END), '')) AS proof_sha256,
+             list_reduce(list_prepend(claim, steps), lambda x, s: sha256(CASE WHEN s = '-' THEN x WHEN s[1] = 'R' THEN x || s[2:] ELSE s[2:] || x END)) AS folded_root
+      FROM w)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM z""",
 }
 
 
