@@ -199,7 +199,8 @@ def repeated_windows(rows: DataFrame, window: int, zipped: DataFrame) -> DataFra
     docs = docs.select("doc_id", "_h", "z", "phrases", F.pmod(F.xxhash64("doc_id", "_h"), F.lit(shards)).alias("shard"))
     found = materialise(docs.groupBy("shard").applyInPandas(
         _locate(window), "doc_id string, _h long, start int, phrase long, w long"), "sub-windows")
-    twice = found.groupBy("phrase", "w").agg(F.count("*").alias("c")).where("c > 1").drop("c")
+    # written, so that both sides of the join are shuffles, which AQE can split where a window is hot
+    twice = materialise(found.groupBy("phrase", "w").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "sub-twice")
     single = found.join(twice, ["phrase", "w"], "left_semi").select("doc_id", "_h", F.col("start").alias("first"), F.lit(1).alias("n"))
     runs = met.where("copied").join(keys, "row").select("doc_id", "_h", "first", "n")
     return (runs.unionByName(single).distinct().groupBy("doc_id", "_h")
