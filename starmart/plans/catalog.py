@@ -633,6 +633,19 @@ def q_agg_count_distinct(spark, sf):
     return j.groupBy("restaurant_id", "date").agg(F.count_distinct("order_id").alias("orders_count"))
 
 
+@query("agg_count_distinct_monthly", _AGG_BASE + """
+SELECT restaurant_id, CAST(year(date) AS INTEGER) y, CAST(month(date) AS INTEGER) m, CAST(count(DISTINCT order_id) AS BIGINT) orders_count
+FROM j GROUP BY 1, 2, 3""")
+def q_agg_count_distinct_monthly(spark, sf):
+    """Monthly distinct orders merged from stored daily bit maps."""
+    from ..operators.distinct import count_maps, distinct_maps
+    from ..session import materialise
+    j = _orders_with_payments(Tables(spark, sf)).withColumn("order_id", F.col("order_id").cast("bigint"))
+    daily = materialise(distinct_maps(j, ["restaurant_id", "date"], "order_id"), "daily-orders")
+    monthly = daily.withColumns({"y": F.year("date"), "m": F.month("date")})
+    return count_maps(monthly, ["restaurant_id", "y", "m"], "orders_count")
+
+
 @query("agg_sum", _AGG_BASE + """
 SELECT restaurant_id, date, CAST(sum(total_sum) AS DECIMAL(29,5)) total_sum,
        CAST(sum(count) AS BIGINT) quantity FROM j GROUP BY 1, 2""")
@@ -834,6 +847,45 @@ def q_refresh_end_to_end(spark, sf):
     return out["dm_settlement_report"]
 
 
+_TWICE: dict = {}
+
+
+def _twice(spark, sf):
+    """The partitioned warehouse after two refreshes, once a session and source folder."""
+    from ..session import materialise, scratch_path
+    from .incremental import refresh_partitions
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TWICE:
+        root = scratch_path(spark, "partitioned")
+        for stg in landing.two_loads(Tables(spark, sf)):
+            stg = {k: materialise(v, f"load-{k}") for k, v in stg.items()}
+            out = refresh_partitions(spark, stg, root, floor=FLOOR, late_days=landing.LATE_DAYS)
+        _TWICE[key] = out
+    return _TWICE[key]
+
+
+@query("refresh_second_run", O.SETTLEMENT)
+def q_refresh_second_run(spark, sf):
+    """Settlement after two runs: orders that changed status and restaurant, late deliveries, renamed restaurants."""
+    return _twice(spark, sf)["dm_settlement_report"].drop("id")
+
+
+@query("refresh_second_run_ledger", O.LEDGER_ROW_RATE)
+def q_refresh_second_run_ledger(spark, sf):
+    """Ledger after two runs: corrected couriers and tips, renamed couriers, orders that came before their delivery."""
+    return _twice(spark, sf)["dm_courier_ledger"].drop("id")
+
+
+@query("refresh_rejected_orders", f"""
+SELECT CAST(o_orderkey AS VARCHAR) order_key, 'no delivery' reason,
+       CAST(CASE WHEN o_orderdate < TIMESTAMP '{landing.LOAD_CUT}' THEN 2 ELSE 1 END AS INTEGER) tries
+FROM orders WHERE o_orderstatus = 'O'""")
+def q_refresh_rejected_orders(spark, sf):
+    """Orders kept for the next run, with the number of runs that tried them."""
+    r = _twice(spark, sf).rejects["orders"]
+    return r.select(F.col("object_id").alias("order_key"), "reason", "tries")
+
+
 # ============================== K: streaming ==============================
 def _stream_dirs(spark, name):
     from ..session import scratch_path

@@ -189,3 +189,46 @@ def staging(t: Tables, materialise: bool = False) -> dict[str, DataFrame]:
         from .refresh import run_concurrently
         stg = run_concurrently({k: (lambda k=k, v=v: write_once(v, f"stg-{k}")) for k, v in stg.items()})
     return stg
+
+
+# ---- two loads of one source: what staging held at a first run, and at a second one ---------------
+LOAD_CUT = "1997-06-01 00:00:00"      # orders from here on come with the second load
+LATE_DAYS = 60
+
+
+def _second(df: DataFrame, version: int) -> DataFrame:
+    return df.withColumn("loaded_at", F.lit(version))
+
+
+def two_loads(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Staging at two runs. The second holds the source as it is; at the first, orders after the cut were missing, and of the
+    others some were still open at another restaurant, some deliveries of the last ``LATE_DAYS`` had not arrived or named
+    another courier and tip, and some couriers and restaurants had another name."""
+    cut = F.lit(LOAD_CUT).cast("timestamp_ntz")
+    key = F.col("_id").cast("bigint")
+    last = staging(t)
+    orders, ns = orders_collection(t), n_suppliers(t)
+    moved = (F.col("date") < cut) & (key % 7 == 0)
+    before = orders.where(F.col("date") < cut).withColumns({
+        "final_status": F.when(moved, "OPEN").otherwise(F.col("final_status")),
+        "restaurant": F.struct(F.when(moved, ((key + 1) % ns).cast("string")).otherwise(F.col("restaurant.id")).alias("id"))})
+    after = orders.withColumn("update_ts", F.when(moved, cut).otherwise(F.col("update_ts")))
+    items = delivery_items(t).withColumn("_ts", F.to_timestamp_ntz("order_ts", F.lit(DOC_DATETIME)))
+    recent = F.col("_ts") >= cut - F.make_dt_interval(days=F.lit(LATE_DAYS))
+    okey = F.col("order_id").cast("bigint")
+    wrong = recent & (okey % 11 == 0)
+    early = items.where((F.col("_ts") < cut) & ~(recent & (okey % 5 == 0))).withColumns({
+        "courier_id": F.when(wrong, ((F.col("courier_id").cast("int") + 1) % 25).cast("string")).otherwise(F.col("courier_id")),
+        "tip_sum": F.when(wrong, F.col("tip_sum") + 1).otherwise(F.col("tip_sum")).cast("decimal(14,2)")}).drop("_ts")
+    early = _second(early.select(to_document().alias("deliveri_info")), 1)
+    names = courier_items(t).withColumn("name", F.when(F.col("_id").cast("int") % 6 == 0, F.concat("name", F.lit(" old"))).otherwise(F.col("name")))
+    names = _second(names.select(to_document(F.col("_id"), F.col("name")).alias("courier_info")), 1)
+    places = restaurants_collection(t)
+    renamed = F.col("_id").cast("bigint") % 9 == 0
+    first = {"users": last["users"], "couriers": names, "deliveries": early, "orders": stage_documents(before),
+             "restaurants": stage_documents(places.withColumn("name", F.when(renamed, F.lower("name")).otherwise(F.col("name")))),
+             "events": last["events"].where(F.col("event_ts") < cut)}
+    second = {"users": last["users"], "couriers": names.unionByName(_second(last["couriers"], 2)), "events": last["events"],
+              "deliveries": early.unionByName(_second(last["deliveries"], 2)), "orders": stage_documents(after),
+              "restaurants": stage_documents(places.withColumn("update_ts", F.when(renamed, cut).otherwise(F.col("update_ts"))))}
+    return first, second
