@@ -968,6 +968,65 @@ def q_stream_daily_totals(spark, sf):
     return sink.current()
 
 
+@query("stream_merge_versions", f"""
+SELECT CAST(o_orderkey AS VARCHAR) order_key, {O.STATUS} order_status, o_orderdate + INTERVAL 1 DAY update_ts FROM orders""")
+def q_stream_merge_versions(spark, sf):
+    """Versions of orders over three micro-batches, of which some come older after newer."""
+    from ..operators.partitioned import Layout
+    from ..streaming.streams import PartitionSink, stream_merge, stream_source
+    landed, ckpt, tables = _stream_dirs(spark, "versions")
+    rows = landing.order_versions(Tables(spark, sf))
+    landing.land_files(rows, landed, "arrival", 3)
+    schema = "order_key string, order_status string, update_ts timestamp_ntz"
+    sink = PartitionSink(spark, f"{tables}/orders", Layout(("order_key",), "pmod(xxhash64(order_key), 16)", schema))
+    stream_merge(stream_source(spark, landed, schema, max_files=1), sink, "update_ts", ckpt)
+    return sink.current()
+
+
+STREAM_FILES = 7
+
+
+def _settled(spark, sf):
+    """The running settlement after all files, once a session and source folder."""
+    from ..streaming.streams import SETTLEMENT_LINES, SettlementStream, stream_source
+    key = (spark.sparkContext.applicationId, sf, "settled")
+    if key not in _TWICE:
+        landed, ckpt, tables = _stream_dirs(spark, "settlement")
+        landing.land_files(landing.sale_lines(Tables(spark, sf), STREAM_FILES), landed, "arrival", STREAM_FILES)
+        run = SettlementStream(spark, tables, delay_days=7)
+        run.run(stream_source(spark, landed, SETTLEMENT_LINES, max_files=1), ckpt)
+        _TWICE[key] = run
+    return _TWICE[key]
+
+
+_STREAM_LINES = f"""
+WITH l AS (SELECT CAST(o_orderkey AS VARCHAR) order_id, CAST(o_orderkey % {O.NS} AS VARCHAR) restaurant_id, o_orderdate ts,
+                  {O.COST} total_sum, CAST({O.COST} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(14,2)) bonus_payment,
+                  CAST({O.COST} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(14,2)) bonus_grant,
+                  least(year(o_orderdate) - 1995 + (o_orderkey % 10 = 0)::INT, {STREAM_FILES - 1}) AS arrival
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F')"""
+
+
+@query("stream_settlement", _STREAM_LINES + """
+SELECT restaurant_id, CAST(ts AS DATE) settlement_date, CAST(count(DISTINCT order_id) AS INTEGER) orders_count,
+       CAST(sum(total_sum) AS DECIMAL(14,2)) orders_total_sum, CAST(sum(bonus_payment) AS DECIMAL(14,2)) orders_bonus_payment_sum,
+       CAST(sum(bonus_grant) AS DECIMAL(14,2)) orders_bonus_granted_sum, CAST(sum(total_sum) * 0.25 AS DECIMAL(14,2)) order_processing_fee,
+       CAST(sum(total_sum) - sum(total_sum) * 0.25 - sum(bonus_payment) AS DECIMAL(14,2)) restaurant_reward_sum
+FROM l GROUP BY 1, 2""")
+def q_stream_settlement(spark, sf):
+    """All measures of the daily settlement from seven micro-batches, late rows included."""
+    return _settled(spark, sf).mart.current()
+
+
+@query("stream_late_rows", _STREAM_LINES + """,
+m AS (SELECT a.arrival, max(b.ts) AS newest FROM (SELECT DISTINCT arrival FROM l) a JOIN l b ON b.arrival < a.arrival GROUP BY 1)
+SELECT restaurant_id, CAST(count(*) AS BIGINT) late_rows FROM l JOIN m USING (arrival)
+WHERE ts < newest - INTERVAL 7 DAY GROUP BY 1""")
+def q_stream_late_rows(spark, sf):
+    """Rows that came more than a week behind the newest one of earlier micro-batches, by restaurant."""
+    return _settled(spark, sf).late().groupBy("restaurant_id").agg(F.count("*").alias("late_rows"))
+
+
 # ============================== L: history ==============================
 SCD2_SQL = """
 WITH x AS (SELECT user_id, ts, event_type,

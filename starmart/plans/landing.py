@@ -232,3 +232,33 @@ def two_loads(t: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
               "deliveries": early.unionByName(_second(last["deliveries"], 2)), "orders": stage_documents(after),
               "restaurants": stage_documents(places.withColumn("update_ts", F.when(renamed, cut).otherwise(F.col("update_ts"))))}
     return first, second
+
+
+# ---- files that arrive one after the other ----------------------------------------------------------
+def land_files(df: DataFrame, path: str, arrival: str, n: int) -> None:
+    """``df`` as ``n`` landed files, in the order of column ``arrival`` (0 to n - 1)."""
+    for k in range(n):
+        df.where(F.col(arrival) == k).drop(arrival).coalesce(1).write.mode("append").parquet(path)
+
+
+def order_versions(t: Tables) -> DataFrame:
+    """Two versions of every order with the file each comes in; of a third of the orders the older one comes last."""
+    o = t["orders"]
+    old = o.select(F.col("o_orderkey").cast("string").alias("order_key"), F.lit("OPEN").alias("order_status"),
+                   F.col("o_orderdate").alias("update_ts"), F.when(F.col("o_orderkey") % 3 == 0, 2).otherwise(0).alias("arrival"))
+    new = o.select(F.col("o_orderkey").cast("string").alias("order_key"), _status("o_orderstatus").alias("order_status"),
+                   (F.col("o_orderdate") + F.make_dt_interval(days=F.lit(1))).alias("update_ts"), F.lit(1).alias("arrival"))
+    return old.unionByName(new)
+
+
+def sale_lines(t: Tables, files: int) -> DataFrame:
+    """Lines of closed orders with the file each comes in: by year of the order, every tenth order one file later."""
+    o = t["orders"].where(F.col("o_orderstatus") == "F").select(
+        "o_orderkey", (F.col("o_orderkey") % n_suppliers(t)).cast("string").alias("restaurant_id"), F.col("o_orderdate").alias("ts"))
+    p = payment_lines(t)
+    j = p.join(o, p["l_orderkey"] == o["o_orderkey"])
+    late = F.when(F.col("o_orderkey") % 10 == 0, 1).otherwise(0)
+    return j.select(F.col("o_orderkey").cast("string").alias("order_id"), "restaurant_id", "ts", F.col("p.product_cost").alias("total_sum"),
+                    F.col("p.bonus_payment").cast("decimal(14,2)").alias("bonus_payment"),
+                    F.col("p.bonus_grant").cast("decimal(14,2)").alias("bonus_grant"),
+                    F.least(F.year("ts") - 1995 + late, F.lit(files - 1)).cast("int").alias("arrival"))
