@@ -15,21 +15,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from ..session import materialise
 
 
-# Dimensions up to this many rows may be broadcast (checked, not assumed).
+# Sides up to this many rows and bytes may be broadcast (checked, not assumed).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes that a row of ``df`` takes in memory."""
+    plain, texts, nested = 16, [], []
+    for f in df.schema.fields:
+        kind, c = f.dataType, F.col(f"`{f.name}`")
+        if isinstance(kind, StringType | BinaryType):
+            texts.append(F.octet_length(c))
+        elif isinstance(kind, ArrayType | MapType | StructType):
+            nested.append(F.octet_length(F.to_json(F.struct(c))))
+        plain += 16
+    size = F.lit(plain).cast("long")
+    for t in [*texts, *nested]:
+        size = size + F.coalesce(t, F.lit(0))
+    return size
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes; reads at most max_rows + 1 rows."""
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.sum(row_bytes(df))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def number_rows(df: DataFrame, order_by, start=1, id_col: str = "id") -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import canonical
+from ..session import materialise
 
 
 class DuplicateKeyError(ValueError):
@@ -72,13 +73,14 @@ def _prepare_batch(batch: DataFrame, keys, dedupe: str, order_by) -> DataFrame:
     raise ValueError(f"unknown dedupe policy {dedupe!r}")
 
 
-def _small(df: DataFrame, small_batch) -> bool:
-    """``small_batch``: False (no), True (caller knows it is small) or a row bound
-    to check with a bounded count."""
+def _small(df: DataFrame, small_batch) -> tuple[DataFrame, bool]:
+    """The batch and whether it is small. ``small_batch``: False (no), True (caller knows it is small) or a row bound:
+    then the batch is written once, as it is read several times, and its rows and bytes are checked."""
     if small_batch is True or small_batch is False:
-        return small_batch
+        return df, small_batch
     from .keys import fits_broadcast
-    return fits_broadcast(df, int(small_batch))
+    df = materialise(df, "small-batch")
+    return df, fits_broadcast(df, int(small_batch))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str] | None = None,
@@ -107,7 +109,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys, update_cols: Sequence[str]
     b = _prepare_batch(batch, keys, dedupe, order_by)
     b = b.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
                    for c in cols])
-    if _small(b, small_batch):
+    b, small = _small(b, small_batch)
+    if small:
         return _upsert_broadcast(target, b, keys, cols, update_cols)
     t = target.select(*cols, F.lit(True).alias("_in_t"))
     b = b.select(*[F.col(c).alias(c if c in keys else f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
@@ -129,7 +132,7 @@ def _upsert_broadcast(target: DataFrame, b: DataFrame, keys, cols, update_cols)
     bb = F.broadcast(b.select(*[F.col(c).alias(c if c in keys else f"_b_{c}") for c in cols]))
     matched = target.join(bb, keys, "inner").select(
         *[F.col(c) if c in keys else (F.col(f"_b_{c}") if c in update_cols else F.col(c)).alias(c) for c in cols])
-    hit = target.join(bk, keys, "left_semi").select(*keys)
+    hit = target.join(bk, keys, "left_semi").select(*keys).distinct()      # at most the keys of the batch
     new = b.join(F.broadcast(hit), keys, "left_anti").select(*cols)
     return untouched.select(*cols).unionByName(matched).unionByName(new)
 
@@ -173,8 +176,9 @@ def insert_absent(target: DataFrame, batch: DataFrame, keys=None, canonical_json
         b = b.select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in cols])
     else:
         b = b.dropDuplicates(keys)
-    if _small(b, small_batch):
-        present = t.join(F.broadcast(b.select(*keys)), keys, "left_semi").select(*keys)
+    b, small = _small(b, small_batch)
+    if small:
+        present = t.join(F.broadcast(b.select(*keys)), keys, "left_semi").select(*keys).distinct()      # at most those of the batch
         new = b.join(F.broadcast(present), keys, "left_anti")
     else:
         new = b.join(t.select(*keys), keys, "left_anti")

@@ -20,7 +20,8 @@ FAST_KEYS = [
 ]
 WAREHOUSE_KEYS = ["dm_users", "dm_products", "dm_orders", "fct_product_sales", "dm_settlement_report",
                   "dm_courier_ledger", "dm_courier_ledger_avg_rate"]
-STREAM_KEYS = ["stream_ingest_once", "stream_daily_totals"]
+STREAM_KEYS = ["stream_ingest_once", "stream_daily_totals", "stream_merge_versions", "stream_settlement", "stream_late_rows"]
+REFRESH_KEYS = ["refresh_second_run", "refresh_second_run_ledger", "refresh_rejected_orders", "agg_count_distinct_monthly"]
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,7 @@ def test_every_query_has_oracle_sql():
     assert len(catalog.queries()) >= 72
 
 
-@pytest.mark.parametrize("key", FAST_KEYS + WAREHOUSE_KEYS + STREAM_KEYS)
+@pytest.mark.parametrize("key", FAST_KEYS + WAREHOUSE_KEYS + STREAM_KEYS + REFRESH_KEYS)
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
     a, ac = rows_of(df.columns, [tuple(r) for r in df.collect()])
