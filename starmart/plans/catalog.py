@@ -730,6 +730,24 @@ def q_dq_length(spark, sf):
     return bad.select("user_id", "user_name", F.length("user_name").alias("len"))
 
 
+@query("dq_observed_write", """
+SELECT 'non_negative:c_acctbal' rule, count(*) FILTER (WHERE c_acctbal < 0) violations,
+       count(*) FILTER (WHERE c_acctbal >= 0 AND length(c_name) <= 17 AND c_custkey % 10 < 9) good_rows FROM customer
+UNION ALL SELECT 'length:c_name>17', count(*) FILTER (WHERE length(c_name) > 17),
+       count(*) FILTER (WHERE c_acctbal >= 0 AND length(c_name) <= 17 AND c_custkey % 10 < 9) FROM customer
+UNION ALL SELECT 'range:last_digit', count(*) FILTER (WHERE c_custkey % 10 = 9),
+       count(*) FILTER (WHERE c_acctbal >= 0 AND length(c_name) <= 17 AND c_custkey % 10 < 9) FROM customer""")
+def q_dq_observed_write(spark, sf):
+    """Rules counted in the pass that writes the table."""
+    from ..session import scratch_path
+    c = Tables(spark, sf)["customer"].withColumn("last_digit", F.col("c_custkey") % 10)
+    rules = Q.non_negative("c_acctbal") + Q.max_length("c_name", 17) + Q.in_range("last_digit", 0, 8)
+    out = Q.write_checked(c, rules, scratch_path(spark, "checked"))
+    good = out.good.agg(F.count("*").alias("good_rows"))
+    rows = spark.createDataFrame(list(out.violations.items()), "rule string, violations long")
+    return rows.withColumn("good_rows", good.scalar())
+
+
 @query("dq_numeric_fit", O.with_(O.PAY) + """
 SELECT order_id, CAST(sum(total_sum) AS DECIMAL(29,5)) total FROM pay GROUP BY 1 HAVING sum(total_sum) >= 1000000""")
 def q_dq_numeric_fit(spark, sf):
@@ -837,6 +855,23 @@ def q_dm_courier_ledger_avg_rate(spark, sf):
                                 w["couriers"], policy="avg_rate")
 
 
+CO_BUCKETS = 8
+
+
+@query("ledger_co_partitioned", O.LEDGER_ROW_RATE)
+def q_ledger_co_partitioned(spark, sf):
+    """The ledger from sales, orders and deliveries bucketed by the order: no exchange below their joins."""
+    w = marts.co_partitioned(_warehouse(spark, sf), CO_BUCKETS)
+    return marts.courier_ledger(w["fct_product_sales"], w["dm_orders"], w["dm_timestamps"], w["deliveries"], w["couriers"])
+
+
+@query("settlement_co_partitioned", O.SETTLEMENT)
+def q_settlement_co_partitioned(spark, sf):
+    """The settlement from sales and orders bucketed by the order."""
+    w = marts.co_partitioned(_warehouse(spark, sf), CO_BUCKETS)
+    return marts.settlement_report(w["fct_product_sales"], w["dm_orders"], w["dm_restaurants"], w["dm_timestamps"])
+
+
 @query("refresh_end_to_end", "SELECT CAST(row_number() OVER (ORDER BY restaurant_id, settlement_date) AS BIGINT) id, * "
                              "FROM (" + O.SETTLEMENT + ")")
 def q_refresh_end_to_end(spark, sf):
