@@ -272,9 +272,12 @@ class Codec:
         self.by_part = (pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                         and not said["normalizer"] and not said["post_processor"] and said["model"]["type"] == "BPE"
                         and len(added) < 2 and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added))
+        del said
         if self.by_part:
-            table = Decoder.of(path)
-            self.opens = (table.size > 0) & (table.bytes[np.minimum(table.at, len(table.bytes) - 1)] == ord(" "))    # ids that begin with a space
+            space = next(c for c, b in _byte_of().items() if b == ord(" "))
+            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.opens = np.zeros(max(vocab.values(), default=-1) + 1, bool)      # ids that begin with a space
+            self.opens[[i for token, i in vocab.items() if token[:1] == space]] = True
             self.tail = {c: x.tobytes() for c, x in zip(TAILS, self.merge(list(TAILS)), strict=True)}
 
     @classmethod

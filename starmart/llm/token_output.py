@@ -44,7 +44,7 @@ from .lexicon import Codec
 
 MAGIC = b"SMTOK1\0\0"
 SAMPLE = 256
-CACHE = 1_000_000         # word pieces a Python worker remembers
+CACHE = 600_000           # word pieces a Python worker remembers
 READ_BYTES = 8 << 20      # ids that a reader holds at once
 READ_DOCS = 4096          # and documents
 MANIFEST = "segment int, n_docs long, n_nulls long, n_ids long, width int"
