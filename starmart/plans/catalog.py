@@ -133,6 +133,27 @@ def q_stage_api_snapshot(spark, sf):
 API_RUN_DATE = "1998-08-02 00:00:00"
 
 
+PAGE_ROWS = 50      # fixed value: rows of a page of the endpoint
+
+
+@query("stage_api_paged", """
+SELECT CAST(o_orderkey AS VARCHAR) order_id, o_orderdate order_ts, CAST(c_nationkey AS VARCHAR) courier_id,
+       CAST(1 + o_orderkey % 5 AS SMALLINT) rate, CAST(o_orderkey % 200 AS DECIMAL(14,2)) tip_sum
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'O'""")
+def q_stage_api_paged(spark, sf):
+    """All pages of the endpoint up to its empty one, read by a stream whose offset is the next page."""
+    from ..sources.pages import LandedPages
+    from ..streaming.streams import ingest_once
+    spark.dataSource.register(LandedPages)
+    landed, ckpt, tables = _stream_dirs(spark, "pages")
+    landing.land_pages(Tables(spark, sf), landed, PAGE_ROWS)
+    for _ in range(2):      # the second run finds no new page
+        ingest_once(spark.readStream.format("landed_pages").option("path", landed).load(), tables, ckpt)
+    d = F.from_json("item", DOC_DELIVERY)
+    return spark.read.parquet(tables).select(d["order_id"].alias("order_id"), casts.to_ts(d["order_ts"]).alias("order_ts"),
+                                             d["courier_id"].alias("courier_id"), d["rate"].alias("rate"), d["tip_sum"].alias("tip_sum"))
+
+
 @query("stage_api_window", f"""
 SELECT CAST(o_orderkey AS VARCHAR) order_id, o_orderdate order_ts, CAST(c_nationkey AS VARCHAR) courier_id,
        CAST(1 + o_orderkey % 5 AS SMALLINT) rate, CAST(o_orderkey % 200 AS DECIMAL(14,2)) tip_sum

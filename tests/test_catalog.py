@@ -22,7 +22,7 @@ WAREHOUSE_KEYS = ["dm_users", "dm_products", "dm_orders", "fct_product_sales", "
                   "dm_courier_ledger", "dm_courier_ledger_avg_rate"]
 STREAM_KEYS = ["stream_ingest_once", "stream_daily_totals", "stream_merge_versions", "stream_settlement", "stream_late_rows"]
 REFRESH_KEYS = ["refresh_second_run", "refresh_second_run_ledger", "refresh_rejected_orders", "agg_count_distinct_monthly",
-                "dq_observed_write", "ledger_co_partitioned", "settlement_co_partitioned"]
+                "stage_api_paged", "dq_observed_write", "ledger_co_partitioned", "settlement_co_partitioned"]
 
 
 @pytest.fixture(scope="module")
