@@ -126,20 +126,17 @@ def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _best(query: np.ndarray, q_ids: np.ndarray, q: np.ndarray, row: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
     """Each query's best k of a block of rows; a row with the query's id is none of its neighbours. Scores that overflow count
     as infinite, those that are no number as the least."""
-    rows, cols = [], []
+    own = q_ids[:, None] == ids[None, :]
     with np.errstate(over="ignore", invalid="ignore"):
         rough = q @ x.T
         slack = SLACK * np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None, :]
-        for i in range(len(q)):
-            may = np.flatnonzero(ids != q_ids[i])
-            if len(may) > k:
-                least = np.nan_to_num(rough[i, may] - slack[i, may], nan=-np.inf)
-                edge = -np.partition(-least, k - 1)[k - 1]
-                # what may reach the k-th best, and all whose bounds overflow
-                may = may[~(rough[i, may] + slack[i, may] < edge)]
-            rows.append(np.full(len(may), i))
-            cols.append(may)
-        rows, cols = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (rows, cols))
+        may = ~own
+        if len(ids) > k:
+            least = rough - slack
+            least[own | np.isnan(least)] = -np.inf
+            edge = -np.partition(-least, k - 1, axis=1)[:, k - 1:k]
+            may &= ~(rough + slack < edge)         # what may reach the k-th best, and all whose bounds overflow
+        rows, cols = np.nonzero(may)
         score = _score(q[rows], x[cols])
     score[np.isnan(score)] = -np.inf
     out = pd.DataFrame({"query": query[rows], "query_id": q_ids[rows], "row": row[cols], "vec_id": ids[cols], "score": score})
