@@ -145,7 +145,10 @@ def _best(query: np.ndarray, q_ids: np.ndarray, q: np.ndarray, row: np.ndarray,
 
 
 def _keep(found: DataFrame, k: int) -> DataFrame:
-    """The k best rows of each query id. Where rows with one id hold several vectors, a candidate counts with its best score."""
+    """The k best rows of each query id. Where rows with one id hold several vectors, a candidate counts with its best score;
+    it is then among the k best of that vector, so all others go before they are compared."""
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "row")
+    found = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
     found = found.groupBy("query_id", "row", "vec_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
