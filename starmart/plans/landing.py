@@ -267,13 +267,9 @@ def sale_lines(t: Tables, files: int) -> DataFrame:
 def land_pages(t: Tables, path: str, page_rows: int) -> None:
     """Deliveries as an endpoint answers them: pages of ``page_rows`` in the order of time, then an empty page."""
     from ..operators.keys import number_rows
-    from ..sources.pages import _open
+    from ..sources.pages import LandedPages
     items = number_rows(delivery_items(t), ["order_ts", "order_id"], start=0, id_col="_n")
     pages = items.withColumn("page", F.floor(F.col("_n") / page_rows).cast("int")).drop("_n")
     pages = pages.select("page", to_document("order_id", "order_ts", "courier_id", "rate", "tip_sum").alias("item"))
-    pages.repartition("page").write.partitionBy("page").text(path)
-    last = pages.agg(F.max("page")).first()[0]
-    fs, root = _open(path)
-    empty = f"{root}/page={0 if last is None else last + 1}"
-    fs.create_dir(empty, recursive=True)
-    fs.open_output_stream(f"{empty}/part-empty").close()
+    t.spark.dataSource.register(LandedPages)
+    pages.repartition("page").sortWithinPartitions("page").write.format("landed_pages").mode("append").option("path", path).save()

@@ -8,15 +8,22 @@ again by the next run.
 
 Use: ``spark.dataSource.register(LandedPages)``, then ``spark.read.format("landed_pages").option("path", ...)`` or ``readStream``. Option
 ``pages_per_partition`` (default 64). Columns: ``page int, item string``.
+
+``df.write.format("landed_pages").mode("append")`` lands pages so: the rows of a page must lie together in one partition (``repartition("page")``,
+``sortWithinPartitions("page")``); a task writes one file a page, named by the page, so one that runs again writes the same
+files, and the empty page that ends the window comes last.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow.fs as pafs
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition,
+                                    WriterCommitMessage)
 
 SCHEMA = "page int, item string"
 PAGE = re.compile(r"/page=(\d+)/(?![._])[^/]+$")
@@ -100,6 +107,29 @@ class PageStream(_Options, DataSourceStreamReader):
         return _rows(self.path, partition)
 
 
+@dataclass
+class Landed(WriterCommitMessage):
+    last: int       # highest page of a task; -1: none
+
+
+class PageWriter(_Options, DataSourceWriter):
+    def write(self, iterator: Iterator) -> Landed:
+        fs, root = _open(self.path)
+        last = -1
+        for page, rows in groupby(iterator, lambda r: r[0]):
+            fs.create_dir(f"{root}/page={page}", recursive=True)
+            with fs.open_output_stream(f"{root}/page={page}/part-0.txt") as f:
+                f.write("".join(f"{r[1]}\n" for r in rows).encode("utf-8"))
+            last = max(last, page)
+        return Landed(last)
+
+    def commit(self, messages: list) -> None:
+        fs, root = _open(self.path)
+        empty = f"{root}/page={max((m.last for m in messages if m is not None), default=-1) + 1}"
+        fs.create_dir(empty, recursive=True)
+        fs.open_output_stream(f"{empty}/part-empty").close()
+
+
 class LandedPages(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -113,3 +143,6 @@ class LandedPages(DataSource):
 
     def streamReader(self, schema) -> PageStream:
         return PageStream(self.options)
+
+    def writer(self, schema, overwrite: bool) -> PageWriter:
+        return PageWriter(self.options)
