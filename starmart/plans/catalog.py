@@ -1032,10 +1032,10 @@ def q_stream_merge_versions(spark, sf):
     from ..streaming.streams import PartitionSink, stream_merge, stream_source
     landed, ckpt, tables = _stream_dirs(spark, "versions")
     rows = landing.order_versions(Tables(spark, sf))
-    landing.land_files(rows, landed, "arrival", 3)
     schema = "order_key string, order_status string, update_ts timestamp_ntz"
     sink = PartitionSink(spark, f"{tables}/orders", Layout(("order_key",), "pmod(xxhash64(order_key), 16)", schema))
-    stream_merge(stream_source(spark, landed, schema, max_files=1), sink, "update_ts", ckpt)
+    for _ in landing.land_batches(rows, landed, "arrival", 3):
+        stream_merge(stream_source(spark, landed, schema), sink, "update_ts", ckpt)
     return sink.current()
 
 
@@ -1048,9 +1048,9 @@ def _settled(spark, sf):
     key = (spark.sparkContext.applicationId, sf, "settled")
     if key not in _TWICE:
         landed, ckpt, tables = _stream_dirs(spark, "settlement")
-        landing.land_files(landing.sale_lines(Tables(spark, sf), STREAM_FILES), landed, "arrival", STREAM_FILES)
         run = SettlementStream(spark, tables, delay_days=7)
-        run.run(stream_source(spark, landed, SETTLEMENT_LINES, max_files=1), ckpt)
+        for _ in landing.land_batches(landing.sale_lines(Tables(spark, sf), STREAM_FILES), landed, "arrival", STREAM_FILES):
+            run.run(stream_source(spark, landed, SETTLEMENT_LINES), ckpt)
         _TWICE[key] = run
     return _TWICE[key]
 
