@@ -472,10 +472,11 @@ SELECT order_id, product_id, total_sum, CAST(bonus_payment AS DECIMAL(14,2)) bon
        CAST(bonus_grant AS DECIMAL(14,2)) bonus_grant_2 FROM pay""")
 def q_cast_decimals(spark, sf):
     ev = _stg(spark, sf)["events"]
-    items = ev.select(F.get_json_object("event_value", "$.order_id").alias("order_id"),
-                      F.explode(F.from_json(F.get_json_object("event_value", "$.product_payments"),
-                                            "array<string>")).alias("p"))
-    txt = lambda f: F.get_json_object("p", f"$.{f}")
+    # each document is parsed once; its fields stay the texts they are written as
+    d = F.from_json("event_value", "order_id string, product_payments array<struct<product_id string, product_cost string, "
+                                   "bonus_payment string, bonus_grant string>>")
+    items = ev.select(d.alias("d")).select(F.col("d.order_id").alias("order_id"), F.explode("d.product_payments").alias("p"))
+    txt = lambda f: F.col("p")[f]
     return items.select("order_id", txt("product_id").alias("product_id"),
                         casts.to_decimal(txt("product_cost"), 19, 5).alias("total_sum"),
                         casts.to_decimal(txt("bonus_payment"), 14, 2).alias("bonus_payment_2"),
